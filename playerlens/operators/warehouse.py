@@ -25,7 +25,13 @@ FIRST_TOUCH = (
 
 
 def dim_dates(spark: SparkSession, start: date, end: date) -> DataFrame:
-    span = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("date_key"))
+    """One row per day from ``start`` to ``end``, both included."""
+    return calendar(spark.range(1).select(F.lit(start).alias("first"), F.lit(end).alias("last")))
+
+
+def calendar(span: DataFrame) -> DataFrame:
+    """The calendar of a one-row frame with the days ``first`` and ``last``."""
+    span = span.select(F.explode(F.sequence("first", "last")).alias("date_key"))
     day = F.col("date_key")
     return span.select(
         "date_key",

@@ -7,71 +7,89 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _struct(text: str, **nested: T.DataType) -> T.StructType:
+    """Fields from ``name type, ...``; works without a session. ``nested`` names other types."""
+    kinds = {**_TYPES, **nested}
+    pairs = [item.split() for item in text.split(",")]
+    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in pairs])
 
 
 # Column names and types of the incoming files.
 RAW_INSTALLS = _struct(
     """
-    attributed_touch_type STRING, attributed_touch_time TIMESTAMP, install_time TIMESTAMP,
-    event_time TIMESTAMP, event_name STRING, media_source STRING, channel STRING,
-    campaign STRING, campaign_id STRING, adset STRING, adset_id STRING, ad STRING,
-    ad_id STRING, site_id STRING, sub_site_id STRING, cost_model STRING, cost_value DOUBLE,
-    cost_currency STRING, appsflyer_id STRING, customer_user_id STRING, platform STRING,
-    device_type STRING, os_version STRING, app_version STRING, country_code STRING,
-    city STRING, ip STRING, wifi BOOLEAN, language STRING, operator STRING, carrier STRING,
-    _ingestion_timestamp TIMESTAMP, _source STRING
+    attributed_touch_type string, attributed_touch_time timestamp, install_time timestamp,
+    event_time timestamp, event_name string, media_source string, channel string,
+    campaign string, campaign_id string, adset string, adset_id string, ad string,
+    ad_id string, site_id string, sub_site_id string, cost_model string, cost_value double,
+    cost_currency string, appsflyer_id string, customer_user_id string, platform string,
+    device_type string, os_version string, app_version string, country_code string,
+    city string, ip string, wifi boolean, language string, operator string, carrier string,
+    _ingestion_timestamp timestamp, _source string
     """
 )
 
 RAW_ATTRIBUTION_EVENTS = _struct(
     """
-    event_time TIMESTAMP, event_name STRING, event_value STRING, event_revenue DOUBLE,
-    event_revenue_currency STRING, media_source STRING, channel STRING, campaign STRING,
-    campaign_id STRING, adset STRING, adset_id STRING, appsflyer_id STRING,
-    customer_user_id STRING, platform STRING, device_type STRING, os_version STRING,
-    app_version STRING, country_code STRING, city STRING, ip STRING, install_time TIMESTAMP,
-    _ingestion_timestamp TIMESTAMP, _source STRING
+    event_time timestamp, event_name string, event_value string, event_revenue double,
+    event_revenue_currency string, media_source string, channel string, campaign string,
+    campaign_id string, adset string, adset_id string, appsflyer_id string,
+    customer_user_id string, platform string, device_type string, os_version string,
+    app_version string, country_code string, city string, ip string, install_time timestamp,
+    _ingestion_timestamp timestamp, _source string
     """
 )
 
 RAW_UNINSTALLS = _struct(
     """
-    event_time TIMESTAMP, appsflyer_id STRING, customer_user_id STRING, platform STRING,
-    media_source STRING, campaign STRING, country_code STRING, install_time TIMESTAMP,
-    _ingestion_timestamp TIMESTAMP, _source STRING
+    event_time timestamp, appsflyer_id string, customer_user_id string, platform string,
+    media_source string, campaign string, country_code string, install_time timestamp,
+    _ingestion_timestamp timestamp, _source string
     """
 )
 
 RAW_EVENTS = _struct(
     """
-    event_date DATE, event_timestamp TIMESTAMP, event_name STRING, event_value_in_usd DOUBLE,
-    user_pseudo_id STRING, user_id STRING, user_first_touch_timestamp TIMESTAMP,
-    platform STRING, stream_id STRING, device_category STRING, device_brand STRING,
-    device_model STRING, device_os STRING, device_os_version STRING, device_language STRING,
-    geo_continent STRING, geo_country STRING, geo_region STRING, geo_city STRING,
-    traffic_source STRING, traffic_medium STRING, traffic_campaign STRING,
-    param_level BIGINT, param_score BIGINT, param_board STRING, param_success STRING,
-    param_value DOUBLE, param_virtual_currency_name STRING,
-    param_engagement_time_msec BIGINT, param_firebase_screen STRING,
-    param_firebase_screen_class STRING, param_session_id STRING,
-    _ingestion_timestamp TIMESTAMP, _source_date_suffix STRING
+    event_date date, event_timestamp timestamp, event_name string, event_value_in_usd double,
+    user_pseudo_id string, user_id string, user_first_touch_timestamp timestamp,
+    platform string, stream_id string, device_category string, device_brand string,
+    device_model string, device_os string, device_os_version string, device_language string,
+    geo_continent string, geo_country string, geo_region string, geo_city string,
+    traffic_source string, traffic_medium string, traffic_campaign string,
+    param_level bigint, param_score bigint, param_board string, param_success string,
+    param_value double, param_virtual_currency_name string,
+    param_engagement_time_msec bigint, param_firebase_screen string,
+    param_firebase_screen_class string, param_session_id string,
+    _ingestion_timestamp timestamp, _source_date_suffix string
     """
 )
 
+_PARAM_VALUE = _struct("string_value string, int_value bigint, double_value double")
 NESTED_EVENTS = _struct(
     """
-    event_date STRING, event_timestamp BIGINT, event_name STRING, event_value_in_usd DOUBLE,
-    user_pseudo_id STRING, user_id STRING, user_first_touch_timestamp BIGINT,
-    platform STRING, stream_id STRING,
-    device STRUCT<category: STRING, mobile_brand_name: STRING, mobile_model_name: STRING,
-        operating_system: STRING, operating_system_version: STRING, language: STRING>,
-    geo STRUCT<continent: STRING, country: STRING, region: STRING, city: STRING>,
-    traffic_source STRUCT<source: STRING, medium: STRING, name: STRING>,
-    event_params ARRAY<STRUCT<key: STRING,
-        value: STRUCT<string_value: STRING, int_value: BIGINT, double_value: DOUBLE>>>
-    """
+    event_date string, event_timestamp bigint, event_name string, event_value_in_usd double,
+    user_pseudo_id string, user_id string, user_first_touch_timestamp bigint,
+    platform string, stream_id string, device device, geo geo,
+    traffic_source traffic_source, event_params event_params
+    """,
+    device=_struct(
+        """
+        category string, mobile_brand_name string, mobile_model_name string,
+        operating_system string, operating_system_version string, language string
+        """
+    ),
+    geo=_struct("continent string, country string, region string, city string"),
+    traffic_source=_struct("source string, medium string, name string"),
+    event_params=T.ArrayType(_struct("key string, value value", value=_PARAM_VALUE)),
 )
 
 
