@@ -1,7 +1,8 @@
 """Brings both sides of a comparison to the same printable types.
 
-Dates and timestamps become text, counts BIGINT, fractions DOUBLE with six decimals (the order in
-which a distributed sum is added up shows in later ones).
+Dates and timestamps become text, counts BIGINT, fractions DOUBLE with six decimals. The order in
+which a distributed sum is added up shows in the last bits of a double; rounding to nine decimals
+first keeps it from deciding a tie at the seventh.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from playerlens.functions.columns import round_double
+
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTION = (T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -25,7 +28,7 @@ def shown(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, _WHOLE):
             c = c.cast("bigint")
         elif isinstance(f.dataType, _FRACTION):
-            c = F.round(c.cast("double"), 6)
+            c = round_double(round_double(c.cast("double"), 9), 6)
         elif isinstance(f.dataType, T.NullType):
             c = c.cast("string")
         out.append(c.alias(f.name))
@@ -36,7 +39,7 @@ _SQL = {
     "d": "strftime(CAST({c} AS DATE), '%Y-%m-%d')",
     "t": "strftime(CAST({c} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f')",
     "i": "CAST({c} AS BIGINT)",
-    "f": "round(CAST({c} AS DOUBLE), 6)",
+    "f": "round(round(CAST({c} AS DOUBLE), 9), 6)",
     "s": "CAST({c} AS VARCHAR)",
     "b": "CAST({c} AS BOOLEAN)",
 }

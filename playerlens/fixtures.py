@@ -14,119 +14,113 @@ from playerlens import schemas
 EPOCH_DAY = "2024-01-01"
 
 
+# Given, so that opening a table does not start a job to infer them.
+TABLE_SCHEMAS = {
+    "events": schemas.struct(
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "customer": schemas.struct(
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "nation": schemas.struct("n_nationkey int, n_name string, n_regionkey int"),
+    "region": schemas.struct("r_regionkey int, r_name string"),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Output column: SQL expression over u(ser), t(ype), v(alue), k, d(ay), at and copy.
+RAW_EVENT_COLUMNS = {
+    "event_key": "event_id",
+    "event_date": "d",
+    "event_timestamp": "at",
+    "event_name": """CASE
+        WHEN t = 'click' THEN IF(k % 4 = 0, 'level_retry', 'level_start')
+        WHEN t = 'signup' THEN 'level_up'
+        WHEN t = 'error' THEN IF(k % 4 = 0, 'level_reset', 'level_end')
+        WHEN t = 'view' THEN
+          CASE k % 4 WHEN 0 THEN 'ad_impression' WHEN 3 THEN 'user_engagement'
+            ELSE 'post_score' END
+        WHEN t = 'purchase' THEN
+          CASE k % 3 WHEN 0 THEN 'in_app_purchase' WHEN 1 THEN 'spend_virtual_currency'
+            ELSE 'earn_virtual_currency' END
+        END""",
+    "event_value_in_usd": """CASE
+        WHEN t = 'purchase' AND k % 3 = 0 AND u % 3 = 1 THEN v
+        WHEN t = 'view' AND k % 4 = 0 AND u % 5 = 0 THEN 0.01D END""",
+    "user_pseudo_id": "concat('p', u)",
+    "user_id": "IF(u % 3 <> 0, concat('a', u), NULL)",
+    "user_first_touch_timestamp":
+        "CAST(date_add(DATE'2024-01-01', CAST(u % 8 AS INT)) AS TIMESTAMP)",
+    "platform": "IF(u % 2 = 0, 'ANDROID', 'IOS')",
+    "stream_id": "CAST(NULL AS STRING)",
+    "device_category": "IF(u % 5 <> 0, 'mobile', NULL)",
+    "device_brand": "IF(u % 5 <> 0, c_mktsegment, NULL)",
+    "device_model": "CAST(NULL AS STRING)",
+    "device_os": "IF(u % 5 <> 0, IF(u % 2 = 0, 'android', 'ios'), NULL)",
+    "device_os_version": "CAST(NULL AS STRING)",
+    "device_language": "IF(u % 5 <> 0 AND u % 7 <> 0, 'en', NULL)",
+    "geo_continent": "r_name",
+    "geo_country": "n_name",
+    "geo_region": "CAST(NULL AS STRING)",
+    "geo_city": "CAST(NULL AS STRING)",
+    "traffic_source": "IF(u % 4 <> 0, concat('src', u % 4), NULL)",
+    "traffic_medium": "IF(u % 4 <> 0, 'cpc', NULL)",
+    "traffic_campaign": "CAST(NULL AS STRING)",
+    "param_level": """IF(t IN ('click', 'signup', 'error') OR (t = 'view' AND k % 4 IN (1, 2)),
+        CAST(floor(k / 5) + 1 AS BIGINT), NULL)""",
+    "param_score": "IF(t = 'view' AND k % 4 IN (1, 2), CAST(floor(v * 10) AS BIGINT), NULL)",
+    "param_board": "CAST(NULL AS STRING)",
+    "param_success":
+        "IF(t = 'error' AND k % 4 <> 0, IF(k % 3 = 0, 'false', 'true'), NULL)",
+    "param_value": "CAST(NULL AS DOUBLE)",
+    "param_virtual_currency_name": "IF(t = 'purchase' AND k % 3 <> 0, 'coins', NULL)",
+    "param_engagement_time_msec": "CAST(floor(v * 100) AS BIGINT) + copy",
+    "param_firebase_screen": "CAST(NULL AS STRING)",
+    "param_firebase_screen_class": "CAST(NULL AS STRING)",
+    "param_session_id": "CAST(NULL AS STRING)",
+    "_ingestion_timestamp": "at + make_dt_interval(0, 1 + copy)",
+    "_source_date_suffix": "date_format(d, 'yyyyMMdd')",
+}
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat raw events plus ``event_key``, the id of the row each event came from."""
-    events = table(spark, sf_dir, "events").select(
-        "event_id",
-        F.col("user_id").alias("u"),
-        F.col("event_type").alias("t"),
-        F.col("value").alias("v"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.to_date("ts").alias("d"),
-        (F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")).alias("sod"),
+    """Flat raw events plus ``event_key``, the id of the row each event came from.
+
+    Every 50th event is there twice, the later copy slightly different.
+    """
+    kept = (
+        table(spark, sf_dir, "events")
+        .selectExpr(
+            "event_id",
+            "user_id AS u",
+            "event_type AS t",
+            "value AS v",
+            "CAST(get_json_object(props, '$.k') AS INT) AS k",
+            "to_date(ts) AS d",
+            "hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS sod",
+        )
+        .where("datediff(d, DATE'2024-01-01') BETWEEN u % 8 AND 8 + (u * 7) % 25")
     )
-    day_no = F.datediff("d", F.lit(EPOCH_DAY).cast("date"))
-    kept = events.filter(day_no.between(F.col("u") % 8, 8 + (F.col("u") * 7) % 25))
-
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     who = (
         table(spark, sf_dir, "customer")
-        .select("c_custkey", "c_nationkey", "c_mktsegment")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    )
-    base = kept.join(who, F.col("u") == F.col("c_custkey"))
-
-    u, t, v, k, d = (F.col(c) for c in ("u", "t", "v", "k", "d"))
-    null = F.lit(None)
-    text = null.cast("string")
-    at = F.timestamp_seconds(F.unix_seconds(d.cast("timestamp")) + F.floor(F.col("sod") / 12))
-    played = t.isin("click", "signup", "error") | ((t == "view") & (k % 4).isin(1, 2))
-    scored = (t == "view") & (k % 4).isin(1, 2)
-    platform = F.when(u % 2 == 0, "ANDROID").otherwise("IOS")
-    name = (
-        F.when(t == "click", F.when(k % 4 == 0, "level_retry").otherwise("level_start"))
-        .when(t == "signup", "level_up")
-        .when(t == "error", F.when(k % 4 == 0, "level_reset").otherwise("level_end"))
-        .when(
-            t == "view",
-            F.when(k % 4 == 0, "ad_impression")
-            .when(k % 4 == 3, "user_engagement")
-            .otherwise("post_score"),
-        )
-        .when(
-            t == "purchase",
-            F.when(k % 3 == 0, "in_app_purchase")
-            .when(k % 3 == 1, "spend_virtual_currency")
-            .otherwise("earn_virtual_currency"),
-        )
-    )
-    value = F.when((t == "purchase") & (k % 3 == 0) & (u % 3 == 1), v).when(
-        (t == "view") & (k % 4 == 0) & (u % 5 == 0), 0.01
-    )
-    flat = base.select(
-        F.col("event_id").alias("event_key"),
-        d.alias("event_date"),
-        at.alias("event_timestamp"),
-        name.alias("event_name"),
-        value.alias("event_value_in_usd"),
-        F.concat(F.lit("p"), u.cast("string")).alias("user_pseudo_id"),
-        F.when(u % 3 != 0, F.concat(F.lit("a"), u.cast("string"))).alias("user_id"),
-        F.date_add(F.lit(EPOCH_DAY).cast("date"), (u % 8).cast("int"))
-        .cast("timestamp")
-        .alias("user_first_touch_timestamp"),
-        platform.alias("platform"),
-        text.alias("stream_id"),
-        F.when(u % 5 != 0, "mobile").alias("device_category"),
-        F.when(u % 5 != 0, F.col("c_mktsegment")).alias("device_brand"),
-        text.alias("device_model"),
-        F.when(u % 5 != 0, F.lower(platform)).alias("device_os"),
-        text.alias("device_os_version"),
-        F.when((u % 5 != 0) & (u % 7 != 0), "en").alias("device_language"),
-        F.col("r_name").alias("geo_continent"),
-        F.col("n_name").alias("geo_country"),
-        text.alias("geo_region"),
-        text.alias("geo_city"),
-        F.when(u % 4 != 0, F.concat(F.lit("src"), (u % 4).cast("string"))).alias("traffic_source"),
-        F.when(u % 4 != 0, "cpc").alias("traffic_medium"),
-        text.alias("traffic_campaign"),
-        F.when(played, F.floor(k / 5) + 1).cast("bigint").alias("param_level"),
-        F.when(scored, F.floor(v * 10)).cast("bigint").alias("param_score"),
-        text.alias("param_board"),
-        F.when(
-            (t == "error") & (k % 4 != 0), F.when(k % 3 == 0, "false").otherwise("true")
-        ).alias("param_success"),
-        null.cast("double").alias("param_value"),
-        F.when((t == "purchase") & (k % 3 != 0), "coins").alias("param_virtual_currency_name"),
-        F.floor(v * 100).cast("bigint").alias("param_engagement_time_msec"),
-        text.alias("param_firebase_screen"),
-        text.alias("param_firebase_screen_class"),
-        text.alias("param_session_id"),
-        (at + F.expr("INTERVAL 1 HOUR")).alias("_ingestion_timestamp"),
-        F.date_format(d, "yyyyMMdd").alias("_source_date_suffix"),
+        .join(nation, F.expr("c_nationkey = n_nationkey"))
+        .join(region, F.expr("n_regionkey = r_regionkey"))
     )
-    return _with_resent_rows(flat)
-
-
-def _with_resent_rows(flat: DataFrame) -> DataFrame:
-    """Adds a later, slightly different copy of every 50th event, without a second scan."""
-    copies = F.when(F.col("event_key") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
-        F.array(F.lit(0))
+    sent = kept.join(who, F.expr("u = c_custkey")).selectExpr(
+        "*",
+        "timestamp_seconds(unix_seconds(CAST(d AS TIMESTAMP)) + floor(sod / 12)) AS at",
+        "explode(IF(event_id % 50 = 0, array(0, 1), array(0))) AS copy",
     )
-    sent = flat.withColumn("_copy", F.explode(copies))
-    return sent.withColumns(
-        {
-            "param_engagement_time_msec": F.col("param_engagement_time_msec") + F.col("_copy"),
-            "_ingestion_timestamp": F.when(
-                F.col("_copy") == 1, F.col("_ingestion_timestamp") + F.expr("INTERVAL 1 HOUR")
-            ).otherwise(F.col("_ingestion_timestamp")),
-        }
-    ).drop("_copy")
+    return sent.selectExpr(*[f"{e} AS {c}" for c, e in RAW_EVENT_COLUMNS.items()])
 
 
 def nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,16 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def round_double(value: Column, digits: int) -> Column:
+    """Rounds half away from zero after scaling in double arithmetic, as SQL engines do.
+
+    ``F.round`` looks at the exact decimal digits instead, and so takes 3.325, which is held as
+    3.3249999999999997, to 3.32.
+    """
+    scale = float(10**digits)
+    return F.round(value * scale) / scale
+
+
 def sunday_week(day: Column) -> Column:
     """Week of the year counted from Sundays; days before the first Sunday are week 0."""
     return F.floor((F.dayofyear(day) + 7 - F.dayofweek(day)) / 7).cast("int")

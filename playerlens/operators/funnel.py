@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from playerlens.functions.columns import round_double
+
 # What makes a drop severe or a warning, as a multiple of the mean drop, or in
 # percentage points of the player base.
 RELATIVE_SEVERE, RELATIVE_WARNING = 2.0, 1.5
@@ -32,17 +34,17 @@ def level_funnel_enriched(funnel: DataFrame, severity_mode: str = "relative") ->
 
     dropped = funnel.withColumns({"prev_completion_rate": lag_rate, "_waited": waited}).withColumns(
         {
-            "drop_rate": F.round(F.coalesce(before - rate, F.lit(0.0)), 4),
-            "_relative": F.round(F.try_divide(before - rate, before), 4),
-            "_difficulty": F.round(F.col("avg_attempts") * (1 - rate), 4),
-            "pacing_gap": F.round(F.coalesce("_waited", F.lit(0.0)), 2),
+            "drop_rate": round_double(F.coalesce(before - rate, F.lit(0.0)), 4),
+            "_relative": round_double(F.try_divide(before - rate, before), 4),
+            "_difficulty": round_double(F.col("avg_attempts") * (1 - rate), 4),
+            "pacing_gap": round_double(F.coalesce("_waited", F.lit(0.0)), 2),
         }
     )
     averaged = dropped.withColumn(
-        "avg_drop_rate", F.round(F.avg("drop_rate").over(Window.partitionBy()), 4)
+        "avg_drop_rate", round_double(F.avg("drop_rate").over(Window.partitionBy()), 4)
     )
     multiple = F.try_divide("drop_rate", "avg_drop_rate")
-    points = F.round(F.col("drop_rate") * 100, 2)
+    points = round_double(F.col("drop_rate") * 100, 2)
     severe, warning = (
         (points > ABSOLUTE_SEVERE, points > ABSOLUTE_WARNING)
         if absolute
@@ -56,7 +58,7 @@ def level_funnel_enriched(funnel: DataFrame, severity_mode: str = "relative") ->
         "level_number",
         "users_completed",
         "total_users",
-        F.round(rate * 100, 2).alias("completion_rate_pct"),
+        round_double(rate * 100, 2).alias("completion_rate_pct"),
         "completion_rate",
         "avg_attempts",
         "avg_best_score",
@@ -64,15 +66,15 @@ def level_funnel_enriched(funnel: DataFrame, severity_mode: str = "relative") ->
         "prev_completion_rate",
         points.alias("drop_rate_pct_display"),
         "drop_rate",
-        F.round(F.col("_relative") * 100, 2).alias("relative_drop_pct"),
-        F.round(F.col("avg_drop_rate") * 100, 2).alias("avg_drop_rate_pct"),
+        round_double(F.col("_relative") * 100, 2).alias("relative_drop_pct"),
+        round_double(F.col("avg_drop_rate") * 100, 2).alias("avg_drop_rate_pct"),
         "avg_drop_rate",
-        F.round(multiple, 2).alias("drop_vs_avg"),
-        F.round(F.col("_difficulty") * 100, 2).alias("difficulty_index"),
+        round_double(multiple, 2).alias("drop_vs_avg"),
+        round_double(F.col("_difficulty") * 100, 2).alias("difficulty_index"),
         "pacing_gap",
         grade("severe", "warning", "normal").alias("severity"),
         grade(1, 2, 3).alias("severity_order"),
-        F.round(F.col("drop_rate") * F.col("total_users")).alias("players_lost"),
+        round_double(F.col("drop_rate") * F.col("total_users"), 0).alias("players_lost"),
     ).orderBy("level_number")
 
 
@@ -81,7 +83,7 @@ def funnel_scorecard(enriched: DataFrame, lowest: int, highest: int) -> DataFram
     level, drop = F.col("level_number"), F.col("drop_rate_pct_display")
     return enriched.filter(level.between(lowest, highest)).agg(
         F.count(F.lit(1)).alias("total_levels"),
-        F.round(F.avg(drop), 2).alias("avg_drop_pct"),
+        round_double(F.avg(drop), 2).alias("avg_drop_pct"),
         F.count_if(F.col("severity") == "severe").alias("severe_drops"),
         F.count_if(F.col("severity") == "warning").alias("warning_drops"),
         F.max_by(level, F.struct(drop, level)).alias("worst_level"),
@@ -120,7 +122,7 @@ def cliff_report(enriched: DataFrame, cliffs: dict[int, str]) -> DataFrame:
     named = enriched.sparkSession.createDataFrame(
         sorted(cliffs.items()), "level_number BIGINT, cliff STRING"
     )
-    lost = F.round(F.col("total_users") * F.col("drop_rate_pct_display") / 100)
+    lost = round_double(F.col("total_users") * F.col("drop_rate_pct_display") / 100, 0)
     return (
         named.join(enriched, "level_number", "left")
         .select(

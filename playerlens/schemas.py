@@ -9,15 +9,17 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "string": T.StringType(),
+    "int": T.IntegerType(),
     "bigint": T.LongType(),
     "double": T.DoubleType(),
     "boolean": T.BooleanType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
 }
 
 
-def _struct(text: str, **nested: T.DataType) -> T.StructType:
+def struct(text: str, **nested: T.DataType) -> T.StructType:
     """Fields from ``name type, ...``; works without a session. ``nested`` names other types."""
     kinds = {**_TYPES, **nested}
     pairs = [item.split() for item in text.split(",")]
@@ -25,7 +27,7 @@ def _struct(text: str, **nested: T.DataType) -> T.StructType:
 
 
 # Column names and types of the incoming files.
-RAW_INSTALLS = _struct(
+RAW_INSTALLS = struct(
     """
     attributed_touch_type string, attributed_touch_time timestamp, install_time timestamp,
     event_time timestamp, event_name string, media_source string, channel string,
@@ -38,7 +40,7 @@ RAW_INSTALLS = _struct(
     """
 )
 
-RAW_ATTRIBUTION_EVENTS = _struct(
+RAW_ATTRIBUTION_EVENTS = struct(
     """
     event_time timestamp, event_name string, event_value string, event_revenue double,
     event_revenue_currency string, media_source string, channel string, campaign string,
@@ -49,7 +51,7 @@ RAW_ATTRIBUTION_EVENTS = _struct(
     """
 )
 
-RAW_UNINSTALLS = _struct(
+RAW_UNINSTALLS = struct(
     """
     event_time timestamp, appsflyer_id string, customer_user_id string, platform string,
     media_source string, campaign string, country_code string, install_time timestamp,
@@ -57,7 +59,7 @@ RAW_UNINSTALLS = _struct(
     """
 )
 
-RAW_EVENTS = _struct(
+RAW_EVENTS = struct(
     """
     event_date date, event_timestamp timestamp, event_name string, event_value_in_usd double,
     user_pseudo_id string, user_id string, user_first_touch_timestamp timestamp,
@@ -73,23 +75,23 @@ RAW_EVENTS = _struct(
     """
 )
 
-_PARAM_VALUE = _struct("string_value string, int_value bigint, double_value double")
-NESTED_EVENTS = _struct(
+_PARAM_VALUE = struct("string_value string, int_value bigint, double_value double")
+NESTED_EVENTS = struct(
     """
     event_date string, event_timestamp bigint, event_name string, event_value_in_usd double,
     user_pseudo_id string, user_id string, user_first_touch_timestamp bigint,
     platform string, stream_id string, device device, geo geo,
     traffic_source traffic_source, event_params event_params
     """,
-    device=_struct(
+    device=struct(
         """
         category string, mobile_brand_name string, mobile_model_name string,
         operating_system string, operating_system_version string, language string
         """
     ),
-    geo=_struct("continent string, country string, region string, city string"),
-    traffic_source=_struct("source string, medium string, name string"),
-    event_params=T.ArrayType(_struct("key string, value value", value=_PARAM_VALUE)),
+    geo=struct("continent string, country string, region string, city string"),
+    traffic_source=struct("source string, medium string, name string"),
+    event_params=T.ArrayType(struct("key string, value value", value=_PARAM_VALUE)),
 )
 
 
