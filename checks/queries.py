@@ -224,7 +224,7 @@ def _messy(df: DataFrame) -> DataFrame:
         F.when(F.col("order_key") % 11 == 0, "n/a")
         .otherwise(F.col("event_revenue").cast("string"))
         .alias("Event-Revenue"),
-        F.col("appsflyer_id").alias("AppsFlyer ID"),
+        F.col("appsflyer_id").alias("Appsflyer-ID"),
         F.col("platform").alias("PLATFORM"),
     )
 

@@ -57,9 +57,10 @@ def first_seen(events: DataFrame) -> DataFrame:
     )
 
 
-def _activity():
+def lifetime_activity(events: DataFrame) -> DataFrame:
+    """Totals per player, in hash aggregates only."""
     bought = F.col("event_name").isin(*PURCHASE_EVENTS) & (F.col("event_value_usd") > 0)
-    return [
+    return events.groupBy(PLAYER).agg(
         F.max("event_date").alias("last_active_date"),
         F.countDistinct("event_date").alias("active_days"),
         F.sum("event_value_usd").alias("total_revenue"),
@@ -69,22 +70,16 @@ def _activity():
             "total_engagement_minutes"
         ),
         F.count(F.lit(1)).alias("total_events"),
-    ]
-
-
-def _touch(columns):
-    # An aggregate instead of first_value windows: it combines before the shuffle.
-    return F.min_by(F.struct(*columns), F.struct("event_timestamp", "event_id"))
-
-
-def lifetime_activity(events: DataFrame) -> DataFrame:
-    return events.groupBy(PLAYER).agg(*_activity())
+    )
 
 
 def first_touch(events: DataFrame, columns=FIRST_TOUCH) -> DataFrame:
-    """Attributes of each player's first event, NULLs included."""
-    touched = events.groupBy(PLAYER).agg(_touch(columns).alias("touch"))
-    return touched.select(PLAYER, "touch.*")
+    """Attributes of each player's first event, NULLs included.
+
+    One aggregate instead of a window per attribute: it combines before the shuffle.
+    """
+    touch = F.min_by(F.struct(*columns), F.struct("event_timestamp", "event_id"))
+    return events.groupBy(PLAYER).agg(touch.alias("touch")).select(PLAYER, "touch.*")
 
 
 def dim_users(events: DataFrame, ref_date: date, one_row_per_player: bool = False) -> DataFrame:
@@ -98,15 +93,17 @@ def dim_users(events: DataFrame, ref_date: date, one_row_per_player: bool = Fals
             F.struct("first_seen_timestamp", "user_id", "first_seen_date", "first_touch_timestamp")
         )
         seen = seen.groupBy(PLAYER).agg(earliest.alias("s")).select(PLAYER, "s.*")
-    players = events.groupBy(PLAYER).agg(*_activity(), _touch(FIRST_TOUCH).alias("touch"))
+    # All three are by player, so the joins add no shuffle. Activity and first touch are kept apart:
+    # text in the latter's buffer would turn the former's hash aggregates into sorts.
     return (
-        seen.join(players, PLAYER, "left")
+        seen.join(lifetime_activity(events), PLAYER, "left")
+        .join(first_touch(events), PLAYER, "left")
         .select(
             PLAYER,
             "user_id",
             F.col("first_seen_date").alias("install_date"),
             "first_touch_timestamp",
-            *[F.col(f"touch.{c}").alias(c) for c in FIRST_TOUCH],
+            *FIRST_TOUCH,
             "last_active_date",
             "active_days",
             "total_revenue",

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import SparkSession
 
 from playerlens import schemas
-from playerlens.sinks.tables import dedup_stored, load_raw, table_path
+from playerlens.sinks.tables import dedup_stored, expire_partitions, load_raw, table_path
 from playerlens.sources.normalize import normalise_report
 from playerlens.sources.readers import read_landing
 
@@ -19,11 +19,12 @@ def daily_ingest(
     day: date,
     source: str = "landing",
     loaded_at: datetime | None = None,
+    keep_days: int | None = None,
 ) -> dict[str, dict]:
     """Loads the five reports of ``day`` into their three tables, then deduplicates that day.
 
     A report that fails is noted and the others go on. Loading a day again is harmless: the later
-    copies replace the earlier ones.
+    copies replace the earlier ones. ``keep_days`` also drops the days that have become too old.
     """
     results: dict[str, dict] = {}
     touched: dict[str, schemas.RawTable] = {}
@@ -44,6 +45,9 @@ def daily_ingest(
         try:
             kept = dedup_stored(spark, table_path(root, "raw", name), table, day)
             results[name] = {"status": "deduplicated", "rows": kept}
+            if keep_days is not None:
+                path = table_path(root, "raw", name)
+                results[name]["expired"] = expire_partitions(spark, path, day, keep_days)
         except Exception as problem:  # noqa: BLE001 - rows stay, repeated, until the next run
             results[name] = {"status": "error", "error": str(problem)}
     return results

@@ -24,6 +24,8 @@ class TablePlan:
     build: Callable[[SparkSession, Inputs, Settings], DataFrame]
     partition: str | None = None
     cluster: tuple[str, ...] = ()
+    # Looks values up in its inputs while it is built, so its plan cannot be had without a run.
+    looks_up: bool = False
 
 
 RAW_EVENTS = ("raw", "raw_events")
@@ -115,6 +117,7 @@ TABLES: tuple[TablePlan, ...] = (
         "marts",
         ("dim_users",),
         lambda spark, t, s: marts.mart_player_segments(t["dim_users"]),
+        looks_up=True,
     ),
     TablePlan(
         "mart_session_stats",
@@ -154,16 +157,6 @@ def open_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_table(spark, stored_path(root, name))
 
 
-def all_tables(spark: SparkSession, raw_events: DataFrame, settings: Settings) -> Inputs:
-    """Every table as a lazy DataFrame on top of the raw events."""
-    built: Inputs = {"raw_events": raw_events}
-    for plan in TABLES:
-        # Segments look their input up several times; see run_layers for the stored form.
-        if plan.name != "mart_player_segments":
-            built[plan.name] = plan.build(spark, built, settings)
-    return built
-
-
 def run_layers(
     spark: SparkSession,
     root: str,
@@ -175,12 +168,13 @@ def run_layers(
 
     Each table is stored once and its dependents read it back. A failed table does not stop the
     run, but tables that need it are skipped rather than built on what an earlier run left. A dry
-    run stores nothing and reports each plan whose inputs are there.
+    run reports the optimised plans and runs none.
     """
     if layer != "all" and layer not in RUN_LAYERS:
         raise ValueError(f"unknown layer {layer!r}; one of {', '.join(RUN_LAYERS)}, all")
     report: dict[str, dict] = {}
     unusable: set[str] = set()
+    planned: dict[str, DataFrame | None] = {}
     for plan in TABLES:
         if layer not in ("all", plan.layer):
             continue
@@ -191,13 +185,12 @@ def run_layers(
             continue
         started = time.monotonic()
         try:
-            inputs = {name: _input(spark, root, name, report, dry_run, settings)
-                      for name in plan.inputs}
-            df = plan.build(spark, inputs, settings)
             if dry_run:
-                text = df._jdf.queryExecution().optimizedPlan().toString()
-                report[plan.name] = {"status": "dry_run", "plan": text, "df": df}
+                planned[plan.name] = _planned(spark, root, plan, planned, settings)
+                report[plan.name] = {"status": "dry_run", "plan": _plan_text(planned[plan.name])}
                 continue
+            inputs = {name: open_table(spark, root, name) for name in plan.inputs}
+            df = plan.build(spark, inputs, settings)
             rows = write_table(
                 df, stored_path(root, plan.name), "overwrite", plan.partition, plan.cluster
             )
@@ -209,14 +202,22 @@ def run_layers(
         except Exception as problem:  # noqa: BLE001 - reported, and dependents are skipped
             unusable.add(plan.name)
             report[plan.name] = {"status": "error", "error": str(problem)}
-    for entry in report.values():
-        entry.pop("df", None)
     return report
 
 
-def _input(
-    spark: SparkSession, root: str, name: str, report: dict, dry_run: bool, settings: Settings
-) -> DataFrame:
-    if dry_run and "df" in report.get(name, {}):
-        return report[name]["df"]
-    return open_table(spark, root, name)
+def _planned(
+    spark: SparkSession, root: str, plan: TablePlan, planned: dict, settings: Settings
+) -> DataFrame | None:
+    if plan.looks_up:
+        return None
+    inputs = {
+        name: planned[name] if name in planned else open_table(spark, root, name)
+        for name in plan.inputs
+    }
+    return plan.build(spark, inputs, settings)
+
+
+def _plan_text(df: DataFrame | None) -> str:
+    if df is None:
+        return "built in several passes"
+    return df._jdf.queryExecution().optimizedPlan().toString()

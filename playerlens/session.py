@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin what results depend on: UTC wall clock. ANSI and AQE stay at their defaults (on)."""
+    """Pin what results depend on: UTC wall clock. ANSI and AQE stay at their defaults (on).
+
+    Streamed sessions are merged inside each input partition before they are shuffled by player.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return spark
 
 

@@ -41,7 +41,7 @@ def stream_landing(
         for suffix, schema in (("csv", as_text), ("parquet", typed)):
             reader = spark.readStream.schema(schema).option("pathGlobFilter", f"*.{suffix}")
             if suffix == "csv":
-                reader = reader.options(header=True, mode="PERMISSIVE")
+                reader = reader.options(header=True, enforceSchema=False, mode="PERMISSIVE")
             files = reader.format(suffix).load(f"{landing}/t={report_type}/dt=*/*")
             started.append(
                 files.select("*", F.col("_metadata.file_path").alias("_path"))
