@@ -19,7 +19,12 @@ from pyspark.sql import functions as F
 from playerlens.functions.columns import risk_tier
 from playerlens.operators.evaluation import binary_metrics
 from playerlens.operators.features import FEATURE_COLUMNS, LEAKY_COLUMNS
-from playerlens.operators.ranking import at_or_before, global_row_number, rows_at_ranks
+from playerlens.operators.ranking import (
+    Ordering,
+    at_or_before,
+    global_row_number,
+    rows_at_ranks,
+)
 from playerlens.session import cut_lineage
 from playerlens.settings import ChurnSettings
 
@@ -127,7 +132,7 @@ def stratified_split(
         held_out = -int(-size * fraction // 1)
         cuts.append((value, starts + held_out))
         starts += size
-    bounds = rows_at_ranks(df, order, lambda n: [rank for _, rank in cuts])
+    bounds = rows_at_ranks(df, [Ordering(order)], lambda n: [rank for _, rank in cuts])[0]
     in_test = F.lit(False)
     for (value, _), bound in zip(cuts, bounds):
         in_test = in_test | ((F.col(label) == value) & at_or_before(df, order, bound))

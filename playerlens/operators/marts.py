@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playerlens.functions.columns import ratio
-from playerlens.operators.ranking import ntile
+from playerlens.operators.ranking import Ordering, ntiles
 from playerlens.settings import COMPLETION_EVENTS, RETENTION_DAYS
 
 PLAYER = "user_pseudo_id"
@@ -180,7 +180,19 @@ def mart_player_segments(users: DataFrame) -> DataFrame:
     which a sum was added up does not move a player between quartiles.
     """
     metrics = users.filter(F.col("lifetime_days") >= 0)
-    tie = [F.col(PLAYER), F.col("user_id")]
+
+    def by(value: Column) -> Ordering:
+        return Ordering([value.cast("double"), F.col(PLAYER), F.col("user_id")])
+
+    quartile = ntiles(
+        metrics,
+        {
+            "recency_score": by(-F.col("days_since_last_active")),
+            "frequency_score": by(F.col("active_days")),
+            "monetary_score": by(F.round("total_revenue", 6)),
+        },
+        4,
+    )
     scored = metrics.select(
         PLAYER,
         "platform",
@@ -194,9 +206,7 @@ def mart_player_segments(users: DataFrame) -> DataFrame:
         "max_level",
         "total_engagement_minutes",
         "total_events",
-        ntile(metrics, [-F.col("days_since_last_active"), *tie], 4).alias("recency_score"),
-        ntile(metrics, [F.col("active_days"), *tie], 4).alias("frequency_score"),
-        ntile(metrics, [F.round("total_revenue", 6), *tie], 4).alias("monetary_score"),
+        *[score.alias(name) for name, score in quartile.items()],
     )
     pays = F.col("total_revenue") > 0
     segment = (

@@ -94,11 +94,13 @@ def install_summary(installs: DataFrame) -> DataFrame:
 
 
 def revenue_by_event(events: DataFrame) -> DataFrame:
+    """Revenue is added up in decimals: large totals are exact and the same on every run."""
+    revenue = F.coalesce("event_revenue", F.lit(0.0)).cast("decimal(18,6)")
     return (
         events.groupBy("event_name")
         .agg(
             F.count(F.lit(1)).alias("count"),
-            F.sum(F.coalesce("event_revenue", F.lit(0.0))).alias("total_revenue"),
+            F.sum(revenue).cast("double").alias("total_revenue"),
         )
         .orderBy(F.desc("count"), "event_name")
     )

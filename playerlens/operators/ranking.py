@@ -9,7 +9,8 @@ can still be divided: append the row's key to them.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from itertools import accumulate
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,31 +72,59 @@ def global_running_totals(
     )
 
 
+@dataclass(frozen=True)
+class Ordering:
+    """One order of the rows: ascending keys, and which rows take part (all by default)."""
+
+    keys: Sequence[Column]
+    where: Column | None = None
+
+
 def rows_at_ranks(
-    df: DataFrame, keys: Sequence[Column], ranks: Callable[[int], Sequence[int]]
-) -> list[tuple]:
-    """Key values of the rows at a few given ranks (1-based) in ascending key order.
+    df: DataFrame, orderings: Sequence[Ordering], ranks: Callable[[int], Sequence[int]]
+) -> list[list[tuple]]:
+    """Key values of the rows at a few given ranks (1-based), per ordering.
 
-    ``ranks`` receives the row count. Collects one number per shuffle partition and the asked rows.
+    All orderings are sorted in one go, so ``df`` is read once; their keys have to agree in number
+    and types. ``ranks`` receives the row count of an ordering. Collects one number per ordering
+    and shuffle partition, and the rows asked for.
     """
-    names = [f"k{i}" for i in range(len(keys))]
-    narrow = df.select(*[k.alias(n) for k, n in zip(keys, names)])
-    placed = _placed(narrow, names)
-    sizes = sorted(placed.groupBy("_part").count().collect())
-    ends = list(accumulate(size for _, size in sizes))
-    wanted = sorted(set(ranks(ends[-1] if ends else 0)))
-    spots = []
-    for rank in wanted:
-        at = next(i for i, end in enumerate(ends) if rank <= end)
-        spots.append((sizes[at][0], rank - 1 - (ends[at - 1] if at else 0)))
-    if not spots:
-        return []
-    hit = F.lit(False)
-    for part, at in spots:
-        hit = hit | ((F.col("_part") == part) & (F.col("_at") == at))
-    rows = {(r["_part"], r["_at"]): r for r in placed.filter(hit).collect()}
-    found = {rank: tuple(rows[s][n] for n in names) for rank, s in zip(wanted, spots)}
-    return [found[r] for r in ranks(ends[-1])]
+    names = [f"k{i}" for i in range(len(orderings[0].keys))]
+
+    def entry(number: int, o: Ordering) -> Column:
+        row = F.struct(F.lit(number).alias("_of"), *[k.alias(n) for k, n in zip(o.keys, names)])
+        return row if o.where is None else F.when(o.where, row)
+
+    entries = F.array(*[entry(i, o) for i, o in enumerate(orderings)])
+    placed = _placed(df.select(F.inline(F.array_compact(entries))), ["_of", *names])
+
+    sizes = sorted(tuple(r) for r in placed.groupBy("_of", "_part").count().collect())
+    taken: dict[int, int] = {}  # positions of a partition that earlier orderings fill
+    spots: list[list[tuple[int, int]]] = []
+    for number in range(len(orderings)):
+        own = [(part, size) for of, part, size in sizes if of == number]
+        found = []
+        for rank in ranks(sum(size for _, size in own)):
+            before = 0
+            for part, size in own:
+                if rank <= before + size:
+                    found.append((part, taken.get(part, 0) + rank - before - 1))
+                    break
+                before += size
+        spots.append(found)
+        for part, size in own:
+            taken[part] = taken.get(part, 0) + size
+
+    wanted = sorted({spot for found in spots for spot in found})
+    if not wanted:
+        return [[] for _ in orderings]
+    hit = reduce(
+        lambda a, b: a | b, [(F.col("_part") == p) & (F.col("_at") == at) for p, at in wanted]
+    )
+    rows = {
+        (r["_part"], r["_at"]): tuple(r[n] for n in names) for r in placed.filter(hit).collect()
+    }
+    return [[rows[spot] for spot in found] for found in spots]
 
 
 def at_or_before(df: DataFrame, keys: Sequence[Column], bound: tuple) -> Column:
@@ -106,18 +135,24 @@ def at_or_before(df: DataFrame, keys: Sequence[Column], bound: tuple) -> Column:
 
 
 def _bins(
-    df: DataFrame, keys: Sequence[Column], k: int, ranks: Callable[[int], Sequence[int]]
-) -> Column:
-    bounds = rows_at_ranks(df, keys, ranks)
-    bin_of = F.lit(k)
-    for number in range(len(bounds), 0, -1):
-        inside = at_or_before(df, keys, bounds[number - 1])
-        bin_of = F.when(inside, number).otherwise(bin_of)
-    return bin_of
-
-
-def ntile(df: DataFrame, keys: Sequence[Column], k: int) -> Column:
-    """``NTILE(k)`` over the whole of ``df`` in ascending key order, as an expression on its rows.
+    df: DataFrame,
+    orderings: dict[str, Ordering],
+    k: int,
+    ranks: Callable[[int], Sequence[int]],
+) -> dict[str, Column]:
+    bounds = rows_at_ranks(df, list(orderings.values()), ranks)
+    bins = {}
+    for (name, ordering), found in zip(orderings.items(), bounds):
+        bin_of = F.lit(k)
+        for number in range(len(found), 0, -1):
+            inside = at_or_before(df, ordering.keys, found[number - 1])
+            bin_of = F.when(inside, number).otherwise(bin_of)
+        bins[name] = bin_of
+    return bins
+
+
+def ntiles(df: DataFrame, orderings: dict[str, Ordering], k: int) -> dict[str, Column]:
+    """``NTILE(k)`` over the whole of ``df`` per ordering, as expressions on its rows.
 
     Only the last row of each tile is looked up, so the rows themselves are not joined back. ``df``
     is read more than once: pass a stored table or ``cut_lineage`` output.
@@ -128,19 +163,27 @@ def ntile(df: DataFrame, keys: Sequence[Column], k: int) -> Column:
         ends = [size * b + min(b, extra) for b in range(1, k)]
         return [e for e in ends if e > 0]
 
-    return _bins(df, keys, k, ranks)
+    return _bins(df, orderings, k, ranks)
 
 
-def quantile_bin(df: DataFrame, keys: Sequence[Column], k: int) -> Column:
-    """Equal-width bins 1..k of the rank, right-closed with linear edges.
+def quantile_bins(df: DataFrame, orderings: dict[str, Ordering], k: int) -> dict[str, Column]:
+    """Equal-width bins 1..k of the rank per ordering, right-closed with linear edges.
 
-    Differs from ``ntile`` in where remainders go. A single row is in the top bin.
+    Differs from ``ntiles`` in where remainders go. A single row is in the top bin.
     """
 
     def ranks(n: int) -> list[int]:
         return [1 + (n - 1) * b // k for b in range(1, k)] if n > 1 else []
 
-    return _bins(df, keys, k, ranks)
+    return _bins(df, orderings, k, ranks)
+
+
+def ntile(df: DataFrame, keys: Sequence[Column], k: int) -> Column:
+    return ntiles(df, {"tile": Ordering(keys)}, k)["tile"]
+
+
+def quantile_bin(df: DataFrame, keys: Sequence[Column], k: int) -> Column:
+    return quantile_bins(df, {"bin": Ordering(keys)}, k)["bin"]
 
 
 def mean_rank_share(df: DataFrame, value: str) -> DataFrame:
