@@ -98,8 +98,10 @@ def run(
         return report
 
     def explored() -> dict:
-        # Profiles are small: one row, or one per event name, platform, country or key.
-        return {k: v.collect() for k, v in explore(spark, source, settings).items()}
+        return {
+            name: write_table(profile, table_path(root, "raw", f"profile_{name}"))
+            for name, profile in explore(spark, source, settings).items()
+        }
 
     actions: dict[str, Callable[[], object]] = {
         "explore": explored,

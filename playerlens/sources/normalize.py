@@ -58,12 +58,13 @@ def add_load_columns(df: DataFrame, source: str, loaded_at: datetime | None = No
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` in order, absent ones NULL, unreadable values NULL; then any others."""
     known = {f.name for f in schema}
-    wanted = [
-        (F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType))
-        .alias(f.name)
-        for f in schema
-    ]
-    return df.select(*wanted, *[F.col(f"`{c}`") for c in df.columns if c not in known])
+
+    def typed(field: T.StructField) -> Column:
+        if field.name in df.columns:
+            return F.col(field.name).try_cast(field.dataType).alias(field.name)
+        return F.lit(None).cast(field.dataType).alias(field.name)
+
+    return df.select(*[typed(f) for f in schema], *[F.col(f"`{c}`") for c in df.columns if c not in known])
 
 
 def normalise_report(
