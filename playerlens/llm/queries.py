@@ -3,24 +3,71 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from playerlens.llm import secrets
+from playerlens.llm.decontaminate import contamination
+from playerlens.llm.language import held_out, with_language
 from playerlens.llm.minhash import near_duplicates
+from playerlens.llm.mixing import mix
+from playerlens.session import cut_lineage, prepare
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = cut_lineage(secrets.scan(docs).drop("text"))
+    return secrets.secrets(found, secrets.learn(found, docs))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contamination(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return with_language(docs).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "lang_pred",
+        "score",
+        "margin",
+        "rejected",
+    )
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
+    "op2_secrets": op2_secrets,
+    "op4_decontaminate": op4_decontaminate,
     "op5_minhash": op5_minhash,
+    "op8_language": op8_language,
+    "op10_mixing": op10_mixing,
 }
 
 LOWER_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+WORD_SQL = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLE_SQL = {
     "op5_minhash": rf"""
 WITH RECURSIVE words AS (
@@ -46,5 +93,76 @@ WITH RECURSIVE words AS (
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM documents d JOIN (SELECT u, min(v) AS component_id FROM reach GROUP BY u) c ON c.u = d.doc_id
 LEFT JOIN sizes s ON s.doc_id = d.doc_id
+""",
+    "op4_decontaminate": rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '{WORD_SQL}') AS w FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '{WORD_SQL}') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n,
+    unnest(CASE WHEN len(w) < 10 THEN [array_to_string(w, ' ')]
+      ELSE [array_to_string(w[i:i + 9], ' ') FOR i IN range(1, len(w) - 8)] END) AS s
+  FROM items WHERE len(w) > 0
+), sizes AS (
+  SELECT DISTINCT n FROM windows
+), starts AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM docs, sizes WHERE len(w) >= n
+), found AS (
+  SELECT t.doc_id, t.i, t.n, x.item_id
+  FROM (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s FROM starts) t
+  JOIN windows x ON x.n = t.n AND x.s = t.s
+), hit AS (
+  SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(m.n_items, 0) AS n_items,
+  sha256(coalesce(m.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit h ON h.doc_id = d.doc_id LEFT JOIN named m ON m.doc_id = d.doc_id
+""",
+    "op10_mixing": rf"""
+WITH rows AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    (CAST('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':10')[1:12] AS BIGINT) + 0.5::DOUBLE)
+      / 281474976710656::DOUBLE AS u
+  FROM documents
+), sums AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i
+  FROM rows GROUP BY source
+), weighed AS (
+  SELECT *, CASE i % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM sums
+), level AS (
+  SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER b, 0) AS rest,
+    sum(w) OVER () - coalesce(sum(w) OVER b, 0) AS share
+  FROM weighed
+  WINDOW b AS (ORDER BY source_size::DOUBLE / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), first AS (
+  SELECT rest, share FROM level WHERE 3 * source_size * share >= w * rest
+  ORDER BY 3 * source_size::DOUBLE / w, i LIMIT 1
+), plan AS (
+  SELECT source, source_size, least(3.0::DOUBLE * source_size,
+    (w * rest)::DOUBLE / share::DOUBLE) AS target
+  FROM weighed, first
+), odds AS (
+  SELECT r.*, p.source_size, p.target, floor(least(3.0::DOUBLE, target / source_size)) AS whole,
+    least(3.0::DOUBLE, target / source_size) - floor(least(3.0::DOUBLE, target / source_size)) AS part
+  FROM rows r JOIN plan p ON r.source IS NOT DISTINCT FROM p.source
+), ranked AS (
+  SELECT *, ((u / (1 - u)) / (part / (1 - part))) AS q FROM odds
+), placed AS (
+  SELECT *, CASE WHEN part > 0 THEN q / (1 + q) END AS v FROM ranked
+), walked AS (
+  SELECT *, target - sum(whole * size) OVER (PARTITION BY source) AS rest,
+    sum(CASE WHEN part > 0 THEN size ELSE 0 END) OVER (PARTITION BY source) AS open,
+    sum(size) OVER (PARTITION BY source, part > 0 ORDER BY v, doc_id, size) AS upto
+  FROM placed
+)
+SELECT doc_id, size, source_size, target,
+  CAST((whole + CASE WHEN part > 0 AND rest > 0 AND (rest >= open OR upto - rest <= size / 2.0)
+    THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+FROM walked
 """,
 }
