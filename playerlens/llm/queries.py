@@ -5,24 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playerlens.llm import secrets
+from playerlens.llm import pii, secrets, warc
 from playerlens.llm.decontaminate import contamination
 from playerlens.llm.language import held_out, with_language
 from playerlens.llm.minhash import near_duplicates
 from playerlens.llm.mixing import mix
-from playerlens.session import cut_lineage, prepare
+from playerlens.llm.urls import filter_urls
+from playerlens.llm.vectors import nearest
+from playerlens.session import cut_lineage, prepare, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = cut_lineage(pii.scan(docs).drop("text"))
+    return pii.personal_data(found, pii.learn(found))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = cut_lineage(secrets.scan(docs).drop("text"))
     return secrets.secrets(found, secrets.learn(found, docs))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return contamination(docs, table(spark, sf_dir, "benchmark")).select(
@@ -39,6 +52,25 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = scratch_path(spark, "warc")
+    warc.write_archives(pages, path)
+    number = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(.*)>$', 1) AS BIGINT)")
+    return warc.read_archives(spark, path).select(
+        number("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        number("refers_to").alias("refers_to"),
+        "error",
+    )
+
+
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return with_language(docs).select(
@@ -57,9 +89,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
+    "op3_neighbours": op3_neighbours,
     "op4_decontaminate": op4_decontaminate,
     "op5_minhash": op5_minhash,
+    "op6_warc": op6_warc,
+    "op7_urls": op7_urls,
     "op8_language": op8_language,
     "op10_mixing": op10_mixing,
 }
@@ -164,5 +200,35 @@ SELECT doc_id, size, source_size, target,
   CAST((whole + CASE WHEN part > 0 AND rest > 0 AND (rest >= open OR upto - rest <= size / 2.0)
     THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM walked
+""",
+    "op3_neighbours": """
+WITH rows AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+), usable AS (
+  SELECT vec_id, v, sqrt(list_reduce(list_transform(v, lambda x: x * x), lambda a, b: a + b)) AS n FROM rows
+  WHERE vec_id IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_reduce(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]), lambda a, b: a + b) / (q.n * c.n) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs
+) WHERE rank <= 5
+""",
+    "op6_warc": """
+WITH pages_of AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), grouped AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM pages_of
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to,
+  CAST(NULL AS VARCHAR) AS error
+FROM grouped
 """,
 }

@@ -83,3 +83,46 @@ def listed(spans: Column, names: tuple[str, ...], by_kind: bool) -> Column:
         ordered, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"], s["end"])
     )
     return F.array_join(shown, ",")
+
+
+def masked(text: Column, spans: Column, names: tuple[str, ...]) -> Column:
+    """``text`` with each span replaced by its kind in brackets; overlapping spans are joined."""
+    ordered = F.array_sort(
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    )
+    kind = "array<struct<start:bigint,end:bigint,kind:int>>"
+
+    def joined(done: Column, s: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        longer = F.array(
+            F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
+        )
+        return F.when(
+            (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] > s["start"]),
+            F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), longer),
+        ).otherwise(F.concat(done, F.array(s)))
+
+    runs = F.aggregate(ordered, F.array().cast(kind), lambda d, s: joined(d, s).cast(kind))
+    held = F.array(runs)
+    marks = F.array(*(F.lit(f"[{n}]") for n in names))
+    built = F.transform(
+        held,
+        lambda r: F.concat(
+            F.array_join(
+                F.transform(
+                    r,
+                    lambda s, i: F.concat(
+                        F.substr(
+                            text,
+                            (start := F.when(i > 0, F.get(r, i - 1)["end"]).otherwise(F.lit(0))).cast("int") + 1,
+                            (s["start"] - start).cast("int"),
+                        ),
+                        F.get(marks, s["kind"]),
+                    ),
+                ),
+                "",
+            ),
+            F.substr(text, F.coalesce(F.try_element_at(r, F.lit(-1))["end"], F.lit(0)).cast("int") + 1),
+        ),
+    )
+    return F.when(F.size(spans) > 0, F.get(built, F.lit(0))).otherwise(text)
