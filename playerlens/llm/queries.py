@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playerlens.llm import pii, secrets, warc
+from playerlens.llm import lm, pii, secrets, warc
 from playerlens.llm.decontaminate import contamination
 from playerlens.llm.language import held_out, with_language
 from playerlens.llm.minhash import near_duplicates
 from playerlens.llm.mixing import mix
+from playerlens.llm.text import fold
 from playerlens.llm.urls import filter_urls
 from playerlens.llm.vectors import nearest
 from playerlens.session import cut_lineage, prepare, scratch_path
@@ -83,6 +84,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score(docs, fold(F.col("doc_id"), 7) == 2)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -97,6 +103,7 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op7_urls": op7_urls,
     "op8_language": op8_language,
+    "op9_lm": op9_lm,
     "op10_mixing": op10_mixing,
 }
 
