@@ -14,6 +14,7 @@ from playerlens.llm.decontaminate import decontaminate as without_benchmark
 from playerlens.llm.language import with_language
 from playerlens.llm.minhash import near_duplicates
 from playerlens.llm.mixing import mix
+from playerlens.llm.text import set_aside
 from playerlens.session import cut_lineage, prepare
 
 
@@ -24,8 +25,8 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: no letters, or no dictionary ahead on a longer text."""
-    found = with_language(docs).filter(~F.col("rejected"))
-    return found.select(*docs.columns)
+    docs, columns = set_aside(docs, ["lang_pred", "score", "margin", "rejected"])
+    return with_language(docs).filter(~F.col("rejected")).select(*columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playerlens.llm.text import ALNUM, WordHasher, mix64
+from playerlens.llm.text import ALNUM, WordHasher, mix64, set_aside
 from playerlens.session import cut_lineage
 
 BLOCK_WORDS = 200_000
@@ -297,7 +297,7 @@ def decontaminate(
     What is left holds no window of any item, also not across a removed span. Documents that are
     not hit come back unchanged, with null texts among them.
     """
-    columns = docs.columns
+    docs, columns = set_aside(docs, list(_MADE))
     found = contamination(docs, items, window=window, block_words=block_words)
     found = found.filter(F.col("n_hit") <= max_coverage * F.col("n_words"))
     every = [a for a, _ in automata(items, window=window, block_words=block_words)]

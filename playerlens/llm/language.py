@@ -16,6 +16,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playerlens.llm.text import fold
 
@@ -128,9 +129,9 @@ def identify(
     training rows.
     """
     base = docs.drop("lang_pred", "score", "margin", "rejected")
-    made = ", lang_pred string, score double, margin double"
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema)
-    out = base.mapInArrow(_predict(dictionaries, level), columns + made)
+    made = T.StructType(base.schema.fields).add("lang_pred", "string")
+    made = made.add("score", "double").add("margin", "double")
+    out = base.mapInArrow(_predict(dictionaries, level), made)
     narrow = (F.col("margin") <= min_margin) & (F.octet_length("text") >= min_bytes)
     return out.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | narrow)
 

@@ -20,7 +20,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -188,49 +187,36 @@ def _encode(classes: Classes, mass: np.ndarray):
     )
     total = classes.n_tokens + classes.n_words + 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = [], []
-        for batch in batches:
-            docs = batch.filter(pc.is_valid(batch.column("tokens")))
-            kind = batch.column("tokens").is_valid().to_numpy(zero_copy_only=False)
-            cuts = [*np.flatnonzero(kind).tolist(), len(batch)]
-            at = 0
-            for n, cut in enumerate(cuts):
-                part = batch.slice(at, cut - at)
-                hashes.append(part.column("hash").to_numpy(zero_copy_only=False).astype(np.int64))
-                counts.append(part.column("c").to_numpy(zero_copy_only=False).astype(np.int64))
-                at = cut + 1
-                if cut == len(batch):
-                    continue
-                row = docs.slice(n, 1).to_pylist()[0]
-                h = np.concatenate(hashes).view(np.uint64)
-                c = np.concatenate(counts)
-                hashes, counts = [], []
-                order = np.argsort(h)
-                h, c = h[order], c[order]
-                local = _unpack(row["tokens"], np.uint32)
-                of_word = classes.of(c, h)
-                base = np.log10((c + 1) / total)
-                inside = np.log10((c + 1) / mass[of_word])
-                code = (mix64(h + np.uint64(1)) >> np.uint64(48)).astype(np.uint16)
-                edges = np.cumsum([0, *row["sizes"]])
-                for i in range(0, len(row["sizes"]), 256):
-                    some = [
-                        local[a:b] for a, b in zip(edges[i : i + 256], edges[i + 1 : i + 257], strict=False)
-                    ]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(row["doc_id"][i : i + 256], pa.int64()),
-                            pa.array(row["held_out"][i : i + 256], pa.bool_()),
-                            pa.array([len(x) for x in some], pa.int64()),
-                            pa.array([int((c[x] > 0).sum()) for x in some], pa.int64()),
-                            pa.array([float(base[x].sum()) for x in some], pa.float64()),
-                            pa.array([float(inside[x].sum()) for x in some], pa.float64()),
-                            pa.array([of_word[x].astype(np.uint8).tobytes() for x in some], pa.binary()),
-                            pa.array([code[x].tobytes() for x in some], pa.binary()),
-                        ],
-                        schema=schema,
-                    )
+    def run(words: pa.Table, docs: pa.Table) -> pa.Table:
+        h = words.column("hash").to_numpy().view(np.uint64)
+        c = words.column("c").to_numpy()
+        order = np.argsort(h)  # the order of the batch's word list
+        h, c = h[order], c[order]
+        of_word = classes.of(c, h)
+        base = np.log10((c + 1) / total)
+        inside = np.log10((c + 1) / mass[of_word])
+        code = (mix64(h + np.uint64(1)) >> np.uint64(48)).astype(np.uint16)
+        of_word = of_word.astype(np.uint8)
+        out = []
+        for row in docs.to_pylist():
+            local = _unpack(row["tokens"], np.uint32)
+            some = np.split(local, np.cumsum(row["sizes"])[:-1])
+            out.append(
+                pa.Table.from_arrays(
+                    [
+                        pa.array(row["doc_id"], pa.int64()),
+                        pa.array(row["held_out"], pa.bool_()),
+                        pa.array(row["sizes"], pa.int64()),
+                        pa.array([int((c[x] > 0).sum()) for x in some], pa.int64()),
+                        pa.array([float(base[x].sum()) for x in some], pa.float64()),
+                        pa.array([float(inside[x].sum()) for x in some], pa.float64()),
+                        pa.array([of_word[x].tobytes() for x in some], pa.binary()),
+                        pa.array([code[x].tobytes() for x in some], pa.binary()),
+                    ],
+                    schema=schema,
+                )
+            )
+        return pa.concat_tables(out) if out else schema.empty_table()
 
     return run
 
@@ -259,9 +245,14 @@ def encoded(docs: DataFrame, held_out, *, classes: int, batch_bytes: int) -> tup
     joined = words.join(counts, "hash", "left").select(
         "batch", "hash", F.coalesce("c", F.lit(0)).alias("c")
     )
-    listed = joined.unionByName(made.filter("tokens IS NOT NULL").drop("hash", "n"), allowMissingColumns=True)
-    ordered = listed.repartition("batch").sortWithinPartitions("batch", F.col("tokens").isNotNull())
-    return cut_lineage(ordered.mapInArrow(_encode(known, mass), _ENCODED_SQL)), known
+    # A group is one batch: its words and its one row of texts, bounded by ``batch_bytes``.
+    texts = made.filter("tokens IS NOT NULL").drop("hash", "n")
+    rows = (
+        joined.groupBy("batch")
+        .cogroup(texts.groupBy("batch"))
+        .applyInArrow(_encode(known, mass), _ENCODED_SQL)
+    )
+    return cut_lineage(rows), known
 
 
 def _masses(classes: Classes):

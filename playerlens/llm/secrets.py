@@ -67,21 +67,27 @@ def _pairs(strings: DataFrame) -> DataFrame:
 
 
 def _log_model(counts: dict[int, int], smoothing: float) -> list[float]:
+    """Log transition probabilities, each row smoothed towards how often characters occur at all."""
+    total = sum(counts.values())
+    seen = [sum(counts.get(a * _SIDE + b, 0) for a in range(_SIDE)) for b in range(_SIDE)]
+    alone = [(n + 0.5) / (total + 0.5 * _SIDE) for n in seen]
     out = []
     for a in range(_SIDE):
-        row = [counts.get(a * _SIDE + b, 0) + smoothing for b in range(_SIDE)]
-        total = sum(row)
-        out += [math.log(x / total) for x in row]
+        row = [counts.get(a * _SIDE + b, 0) for b in range(_SIDE)]
+        out += [
+            math.log((n + smoothing * p) / (sum(row) + smoothing))
+            for n, p in zip(row, alone, strict=True)
+        ]
     return out
 
 
 def learn(
-    found: DataFrame, docs: DataFrame, *, sample_rows: int = 2000, smoothing: float = 0.5
+    found: DataFrame, docs: DataFrame, *, sample_rows: int = 2000, smoothing: float = 16.0
 ) -> str | None:
     """The log ratios as a JSON array; None when there is nothing to learn from on either side.
 
     ``found`` comes from ``scan``: all its format matches are used. The ordinary words come from the
-    ``sample_rows`` texts with the least hash.
+    ``sample_rows`` texts with the least hash; strings that are candidates themselves have no label.
     """
     secret = F.concat(
         F.transform("assign", lambda m: _assigned(m["value"])),
@@ -94,6 +100,7 @@ def learn(
         ~(F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX))
     )
     words = plain.select(F.explode(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0))).alias("s"))
+    words = words.filter(~F.col("s").rlike(CANDIDATE))
     ordinary = {r[0]: r[1] for r in _pairs(words).collect()}
     if not random or not ordinary:
         return None

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -122,3 +122,10 @@ def fold(doc_id: Column, n: int) -> Column:
 def space_words(text: Column) -> Column:
     """How many words without ASCII white space ``text`` has; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def set_aside(docs: DataFrame, names: list[str]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with its columns called ``names`` renamed, and how to select all columns as before."""
+    aside = {c: f"_own_{c}" for c in docs.columns if c in names}
+    kept = [F.col(aside[c]).alias(c) if c in aside else F.col(c) for c in docs.columns]
+    return docs.withColumnsRenamed(aside), kept
