@@ -247,9 +247,10 @@ def encoded(docs: DataFrame, held_out, *, classes: int, batch_bytes: int) -> tup
     )
     # A group is one batch: its words and its one row of texts, bounded by ``batch_bytes``.
     texts = made.filter("tokens IS NOT NULL").drop("hash", "n")
+    texts = texts.withColumnRenamed("batch", "of")
     rows = (
         joined.groupBy("batch")
-        .cogroup(texts.groupBy("batch"))
+        .cogroup(texts.groupBy("of"))
         .applyInArrow(_encode(known, mass), _ENCODED_SQL)
     )
     return cut_lineage(rows), known
