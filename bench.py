@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -53,6 +54,7 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_PARTITIONS", "8"))
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="playerlens-bench-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

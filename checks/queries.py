@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.present import shown
+from checks.scratch import with_scratch
 from playerlens import fixtures, schemas
 from playerlens.functions.columns import risk_tier, stable_id
 from playerlens.operators import (
@@ -53,7 +54,7 @@ class Inputs:
     """The layers over one set of test tables, each built when first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = prepare(spark)
+        self.spark = with_scratch(prepare(spark))
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
@@ -69,7 +70,7 @@ class Inputs:
 
     @cached_property
     def events(self) -> DataFrame:
-        return staging.stg_events(self.raw)
+        return cut_lineage(staging.stg_events(self.raw))
 
     @cached_property
     def sessions(self) -> DataFrame:
@@ -380,7 +381,7 @@ def append_table(i: Inputs) -> DataFrame:
     early = F.col("install_time") < F.lit(date(2024, 1, 15)).cast("timestamp")
     tables.append_table(installs.filter(early).drop("cost_value"), path)
     tables.append_table(installs.filter(~early), path)
-    return tables.read_table(i.spark, path)
+    return tables.read_table(i.spark, path, evolving=True)
 
 
 @query
@@ -831,10 +832,7 @@ def segment_stats(i: Inputs) -> DataFrame:
 
 @query
 def segment_counts(i: Inputs) -> DataFrame:
-    """With what to do about each segment."""
-    return segments.segment_counts(i.segmented).join(
-        segments.segment_strategies(i.spark), "player_segment"
-    )
+    return segments.segment_counts(i.segmented)
 
 
 @query
@@ -1094,7 +1092,7 @@ def daily_ingest(i: Inputs) -> DataFrame:
     for hour in (1, 2):
         daily.daily_ingest(i.spark, landing, root, LANDED, loaded_at=AT.replace(hour=hour))
     parts = [
-        tables.read_table(i.spark, tables.table_path(root, "raw", n))
+        tables.read_table(i.spark, tables.table_path(root, "raw", n), evolving=True)
         .groupBy((F.col(tables.DAY) == F.lit(LANDED)).alias("on_day"))
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(F.lit(n).alias("table_name"), "on_day", "rows")
@@ -1121,7 +1119,7 @@ def stream_landing(i: Inputs) -> DataFrame:
         for running in streams.stream_landing(i.spark, landing, root, state, headers):
             running.awaitTermination()
     parts = [
-        tables.read_table(i.spark, tables.table_path(root, "raw", n)).agg(
+        tables.read_table(i.spark, tables.table_path(root, "raw", n), evolving=True).agg(
             F.lit(n).alias("table_name"),
             F.count(F.lit(1)).alias("rows"),
             F.countDistinct("appsflyer_id").alias("devices"),
@@ -1150,7 +1148,7 @@ def _streamed(i: Inputs, df: DataFrame, build) -> DataFrame:
 @query
 def stream_dedup(i: Inputs) -> DataFrame:
     kept = _streamed(
-        i, i.attribution, lambda s: streams.stream_dedup(s, schemas.ATTRIBUTION_EVENTS, "9999 days")
+        i, i.attribution, lambda s: streams.stream_dedup(s, schemas.ATTRIBUTION_EVENTS, "1 day")
     )
     return kept.select("appsflyer_id", "event_time", "event_name")
 

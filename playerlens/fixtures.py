@@ -41,12 +41,16 @@ RAW_EVENT_COLUMNS = {
     "event_date": "d",
     "event_timestamp": "at",
     "event_name": """CASE
-        WHEN t = 'click' THEN IF(k % 4 = 0, 'level_retry', 'level_start')
-        WHEN t = 'signup' THEN 'level_up'
-        WHEN t = 'error' THEN IF(k % 4 = 0, 'level_reset', 'level_end')
+        WHEN t = 'click' THEN
+          CASE WHEN k % 4 = 0 THEN 'level_retry' WHEN k % 8 = 1 THEN 'select_content'
+            ELSE 'level_start' END
+        WHEN t = 'signup' THEN IF(k % 3 = 0, 'level_complete', 'level_up')
+        WHEN t = 'error' THEN
+          CASE WHEN k % 4 = 0 THEN 'level_reset' WHEN k % 8 = 2 THEN 'app_remove'
+            ELSE 'level_end' END
         WHEN t = 'view' THEN
-          CASE k % 4 WHEN 0 THEN 'ad_impression' WHEN 3 THEN 'user_engagement'
-            ELSE 'post_score' END
+          CASE k % 8 WHEN 0 THEN 'ad_impression' WHEN 4 THEN 'ad_click'
+            WHEN 3 THEN 'user_engagement' WHEN 7 THEN 'session_start' ELSE 'post_score' END
         WHEN t = 'purchase' THEN
           CASE k % 3 WHEN 0 THEN 'in_app_purchase' WHEN 1 THEN 'spend_virtual_currency'
             ELSE 'earn_virtual_currency' END
@@ -59,32 +63,32 @@ RAW_EVENT_COLUMNS = {
     "user_first_touch_timestamp":
         "CAST(date_add(DATE'2024-01-01', CAST(u % 8 AS INT)) AS TIMESTAMP)",
     "platform": "IF(u % 2 = 0, 'ANDROID', 'IOS')",
-    "stream_id": "CAST(NULL AS STRING)",
+    "stream_id": "concat('s', u % 4)",
     "device_category": "IF(u % 5 <> 0, 'mobile', NULL)",
     "device_brand": "IF(u % 5 <> 0, c_mktsegment, NULL)",
-    "device_model": "CAST(NULL AS STRING)",
+    "device_model": "IF(u % 5 <> 0, concat('model', u % 6), NULL)",
     "device_os": "IF(u % 5 <> 0, IF(u % 2 = 0, 'android', 'ios'), NULL)",
-    "device_os_version": "CAST(NULL AS STRING)",
+    "device_os_version": "IF(u % 5 <> 0, concat(u % 4, '.0'), NULL)",
     "device_language": "IF(u % 5 <> 0 AND u % 7 <> 0, 'en', NULL)",
     "geo_continent": "r_name",
     "geo_country": "n_name",
-    "geo_region": "CAST(NULL AS STRING)",
-    "geo_city": "CAST(NULL AS STRING)",
+    "geo_region": "concat('region', u % 10)",
+    "geo_city": "IF(u % 6 <> 0, concat('city', u % 12), NULL)",
     "traffic_source": "IF(u % 4 <> 0, concat('src', u % 4), NULL)",
     "traffic_medium": "IF(u % 4 <> 0, 'cpc', NULL)",
-    "traffic_campaign": "CAST(NULL AS STRING)",
+    "traffic_campaign": "IF(u % 4 <> 0, concat('camp', u % 3), NULL)",
     "param_level": """IF(t IN ('click', 'signup', 'error') OR (t = 'view' AND k % 4 IN (1, 2)),
         CAST(floor(k / 5) + 1 AS BIGINT), NULL)""",
     "param_score": "IF(t = 'view' AND k % 4 IN (1, 2), CAST(floor(v * 10) AS BIGINT), NULL)",
-    "param_board": "CAST(NULL AS STRING)",
+    "param_board": "IF(t IN ('click', 'error'), concat('b', k % 3), NULL)",
     "param_success":
         "IF(t = 'error' AND k % 4 <> 0, IF(k % 3 = 0, 'false', 'true'), NULL)",
-    "param_value": "CAST(NULL AS DOUBLE)",
+    "param_value": "IF(t = 'purchase', v / 2, CAST(NULL AS DOUBLE))",
     "param_virtual_currency_name": "IF(t = 'purchase' AND k % 3 <> 0, 'coins', NULL)",
     "param_engagement_time_msec": "CAST(floor(v * 100) AS BIGINT) + copy",
-    "param_firebase_screen": "CAST(NULL AS STRING)",
-    "param_firebase_screen_class": "CAST(NULL AS STRING)",
-    "param_session_id": "CAST(NULL AS STRING)",
+    "param_firebase_screen": "IF(t = 'view', concat('screen', k % 5), NULL)",
+    "param_firebase_screen_class": "IF(t = 'view', 'main', NULL)",
+    "param_session_id": "CAST(u * 1000 + day(d) AS STRING)",
     "_ingestion_timestamp": "at + make_dt_interval(0, 1 + copy)",
     "_source_date_suffix": "date_format(d, 'yyyyMMdd')",
 }
@@ -95,7 +99,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every 50th event is there twice, the later copy slightly different.
     """
-    kept = (
+    # A player is active from day u % 8 for a span that ends on the last day at the latest; every
+    # event is moved into it, so that installs and churn are staggered and none is left out.
+    moved = (
         table(spark, sf_dir, "events")
         .selectExpr(
             "event_id",
@@ -103,10 +109,13 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             "event_type AS t",
             "value AS v",
             "CAST(get_json_object(props, '$.k') AS INT) AS k",
-            "to_date(ts) AS d",
+            "datediff(to_date(ts), DATE'2024-01-01') AS day",
             "hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS sod",
         )
-        .where("datediff(d, DATE'2024-01-01') BETWEEN u % 8 AND 8 + (u * 7) % 25")
+        .withColumn("span", F.expr("least(8 + (u * 7) % 25, 29) - u % 8 + 1"))
+        .withColumn(
+            "d", F.expr("date_add(DATE'2024-01-01', CAST(u % 8 + pmod(day, span) AS INT))")
+        )
     )
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
@@ -115,7 +124,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nation, F.expr("c_nationkey = n_nationkey"))
         .join(region, F.expr("n_regionkey = r_regionkey"))
     )
-    sent = kept.join(who, F.expr("u = c_custkey")).selectExpr(
+    sent = moved.join(who, F.expr("u = c_custkey")).selectExpr(
         "*",
         "timestamp_seconds(unix_seconds(CAST(d AS TIMESTAMP)) + floor(sod / 12)) AS at",
         "explode(IF(event_id % 50 = 0, array(0, 1), array(0))) AS copy",
@@ -144,6 +153,7 @@ def nest(flat: DataFrame) -> DataFrame:
             F.col(column).isNotNull(), F.struct(F.lit(key).alias("key"), value.alias("value"))
         )
 
+    even = F.substring("user_pseudo_id", 2, 20).cast("bigint") % 2 == 0
     params = F.array_compact(
         F.array(
             param("level", "param_level", "int_value"),
@@ -155,7 +165,10 @@ def nest(flat: DataFrame) -> DataFrame:
             param("engagement_time_msec", "param_engagement_time_msec", "int_value"),
             param("firebase_screen", "param_firebase_screen", "string_value"),
             param("firebase_screen_class", "param_firebase_screen_class", "string_value"),
-            param("ga_session_id", "param_session_id", "string_value"),
+            # As text for half of the players, as a number for the others.
+            F.when(even, param("ga_session_id", "param_session_id", "string_value")).otherwise(
+                param("ga_session_id", "param_session_id", "int_value")
+            ),
         )
     )
     nested = flat.select(

@@ -115,8 +115,11 @@ def _shuffled(label: str, key: str, seed: int) -> list[Column]:
 
 
 def _class_sizes(df: DataFrame, label: str) -> list[tuple[int, int]]:
-    """Rows per class, ascending; two rows for a binary label."""
-    return [(r[0], r[1]) for r in df.groupBy(label).count().orderBy(label).collect()]
+    """Rows per class, ascending; the label has to be binary."""
+    rows = df.groupBy(label).count().orderBy(label).limit(3).collect()
+    if len(rows) > 2:
+        raise ValueError(f"{label} has more than two values")
+    return [(r[0], r[1]) for r in rows]
 
 
 def stratified_split(

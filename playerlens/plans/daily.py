@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from playerlens import schemas
-from playerlens.sinks.tables import dedup_stored, expire_partitions, load_raw, table_path
+from playerlens.sinks.tables import days_of, dedup_stored, expire_partitions, load_raw, table_path
 from playerlens.sources.normalize import normalise_report
 from playerlens.sources.readers import read_landing
 
@@ -21,29 +22,30 @@ def daily_ingest(
     loaded_at: datetime | None = None,
     keep_days: int | None = None,
 ) -> dict[str, dict]:
-    """Loads the five reports of ``day`` into their three tables, then deduplicates that day.
+    """Loads the five reports of ``day``, then deduplicates every day their rows belong to.
 
-    A report that fails is noted and the others go on. Loading a day again is harmless: the later
-    copies replace the earlier ones. ``keep_days`` also drops the days that have become too old.
+    A report that fails is noted and the others go on. Rows delivered late have an earlier day of
+    their own, and loading a day again is harmless for those too: later copies replace earlier ones.
+    ``keep_days`` also drops the days that have become too old.
     """
     results: dict[str, dict] = {}
-    touched: dict[str, schemas.RawTable] = {}
+    touched: dict[str, list[DataFrame]] = {}
     for report_type, table in schemas.REPORT_TARGETS.items():
         try:
             report = read_landing(spark, landing, report_type, day)
-            rows = load_raw(
-                normalise_report(report, table.schema, source, loaded_at),
-                table_path(root, "raw", table.name),
-                table,
-            )
+            batch = normalise_report(report, table.schema, source, loaded_at)
+            rows = load_raw(batch, table_path(root, "raw", table.name), table)
             results[report_type] = {"status": "success", "rows": rows}
             if rows:
-                touched[table.name] = table
+                touched.setdefault(table.name, []).append(days_of(batch, table))
         except Exception as problem:  # noqa: BLE001 - reported per report
             results[report_type] = {"status": "error", "error": str(problem)}
-    for name, table in touched.items():
+    for name, days in touched.items():
         try:
-            kept = dedup_stored(spark, table_path(root, "raw", name), table, day)
+            loaded = reduce(DataFrame.union, days).distinct()
+            kept = dedup_stored(
+                spark, table_path(root, "raw", name), schemas.RAW_TABLES[name], loaded
+            )
             results[name] = {"status": "deduplicated", "rows": kept}
             if keep_days is not None:
                 path = table_path(root, "raw", name)

@@ -154,7 +154,7 @@ def stored_path(root: str, name: str) -> str:
 
 
 def open_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return read_table(spark, stored_path(root, name))
+    return read_table(spark, stored_path(root, name), evolving=name.startswith("raw_"))
 
 
 def run_layers(

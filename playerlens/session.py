@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +20,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder every executor sees.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master, where there is one
-    machine, gets a temporary folder when nothing is set.
+    It is named in ``spark.checkpoint.dir``, or set by ``SparkContext.setCheckpointDir``.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
@@ -31,8 +29,6 @@ def shared_dir(spark: SparkSession) -> str:
         )
         if configured:
             sc.setCheckpointDir(configured)
-        elif sc.master.startswith("local"):
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="playerlens-"))
         else:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     return sc.getCheckpointDir()

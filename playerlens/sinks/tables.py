@@ -31,9 +31,13 @@ def create_layers(spark: SparkSession, prefix: str = "game") -> list[str]:
     return names
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A stored table, with columns that only its later loads have."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+def read_table(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame:
+    """A stored table.
+
+    With ``evolving``, columns that only its later loads have are found too; that opens the footer
+    of every file, so it is for tables that are appended to.
+    """
+    return spark.read.option("mergeSchema", evolving).parquet(path)
 
 
 def laid_out(df: DataFrame, partition: str | None, cluster: Sequence[str] = ()) -> DataFrame:
@@ -76,10 +80,12 @@ def append_table(
     return write_table(df, path, "append", partition, cluster)
 
 
-def load_raw(df: DataFrame, path: str, table: RawTable, mode: str = "append") -> int:
+def load_raw(
+    df: DataFrame, path: str, table: RawTable, mode: str = "append", only_partitions: bool = False
+) -> int:
     """Loads normalised report rows into their raw table, by day of its time column."""
     by_day = df.withColumn(DAY, F.to_date(table.time_column))
-    return write_table(by_day, path, mode, DAY, table.cluster_columns)
+    return write_table(by_day, path, mode, DAY, table.cluster_columns, only_partitions)
 
 
 # Maintenance --------------------------------------------------------------------------------
@@ -102,10 +108,25 @@ def dedup_partition(df: DataFrame, table: RawTable, day: date | None = None) ->
     return dedup_latest(rows, table.dedup_keys, order)
 
 
-def dedup_stored(spark: SparkSession, path: str, table: RawTable, day: date) -> int:
-    """Deduplicates one day of a stored raw table in place; other days are not touched."""
-    stored = read_table(spark, path).filter(F.col(DAY) == F.lit(day))
-    kept = cut_lineage(dedup_partition(stored, table))
+def days_of(rows: DataFrame, table: RawTable) -> DataFrame:
+    """The days that rows of a raw table belong to, one row each, as the column ``day``."""
+    return rows.select(F.to_date(table.time_column).alias("day")).distinct()
+
+
+def dedup_stored(
+    spark: SparkSession, path: str, table: RawTable, days: date | DataFrame
+) -> int:
+    """Deduplicates one day, or those of a column ``day``, of a stored raw table in place.
+
+    Other days are not touched.
+    """
+    stored = read_table(spark, path, evolving=True)
+    if isinstance(days, DataFrame):
+        chosen = days.select(F.col("day").cast("date").alias("day")).distinct()
+        rows = stored.join(chosen, F.col(DAY).eqNullSafe(F.col("day")), "left_semi")
+    else:
+        rows = stored.filter(F.col(DAY) == F.lit(days))
+    kept = cut_lineage(dedup_partition(rows, table))
     return write_table(kept, path, "overwrite", DAY, table.cluster_columns, only_partitions=True)
 
 

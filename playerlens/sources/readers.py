@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,24 +40,59 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _csv(spark: SparkSession, **options):
-    # Columns go by header name, so every file has to have the same header.
-    return spark.read.options(header=True, enforceSchema=False, mode="PERMISSIVE", **options)
+def _csv(spark: SparkSession, path: str, multi_line: bool, **options) -> DataFrame | None:
+    """CSV files, each read by its own header line; None when no file has one.
 
+    The files of one header are read together, and the parts are joined by column name. What
+    reaches the driver is one row per file.
+    """
+    lines = spark.read.options(**options).text(path)
+    first = (
+        lines.filter(F.col("_metadata.file_block_start") == 0)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.monotonically_increasing_id().alias("n"),
+            "value",
+        )
+        .groupBy("file")
+        .agg(F.min_by("value", "n").alias("header"))
+    )
+    by_header: dict[str, list[str]] = {}
+    for row in first.orderBy("file").collect():
+        by_header.setdefault(row["header"], []).append(unquote(row["file"]))
+    reader = spark.read.options(
+        header=True, enforceSchema=False, mode="PERMISSIVE", multiLine=multi_line, **options
+    )
+    parts = [canonical_columns(reader.csv(files)) for files in by_header.values()]
+    if not parts:
+        return None
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
-def read_report_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A report with a header line, as text columns under canonical names; empty without a body."""
-    report = _csv(spark).csv(path)
-    return canonical_columns(report) if report.columns else _empty(spark, schema)
+
+def read_report_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
+    """A report with a header line, as text columns under canonical names; empty without a body.
+
+    ``multi_line`` allows line breaks inside quotes, and gives up splitting a file over tasks.
+    """
+    report = _csv(spark, path, multi_line)
+    return _empty(spark, schema) if report is None else report
 
 
 def read_landing(
-    spark: SparkSession, root: str, report_type: str, day: date, hour: int | None = None
+    spark: SparkSession,
+    root: str,
+    report_type: str,
+    day: date,
+    hour: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Parquet and CSV files of ``t={type}/dt={date}/h={hour}/`` as one table.
 
-    Only the directory asked for is listed. CSV columns are text until they are normalised; where
-    a column comes in both forms, it is text. No files give an empty table.
+    Only the directory asked for is listed. CSV files may differ in their columns; these are text
+    until they are normalised, and where a column comes in both forms, it is text. No files give an
+    empty table. ``multi_line`` is as in ``read_report_csv``.
     """
     path = f"{root}/t={report_type}/dt={day.isoformat()}"
     if hour is not None:
@@ -65,17 +102,18 @@ def read_landing(
     readers = (
         ("*.parquet", lambda: spark.read.options(mergeSchema=True, basePath=root,
                                                  pathGlobFilter="*.parquet").parquet(path)),
-        ("*.csv", lambda: _csv(spark, basePath=root, pathGlobFilter="*.csv").csv(path)),
+        ("*.csv", lambda: _csv(spark, path, multi_line, basePath=root, pathGlobFilter="*.csv")),
     )
     for _, read in readers:
         try:
-            part = canonical_columns(read().drop("t", "dt", "h"))
+            part = read()
         except AnalysisException as problem:
             if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 continue
             raise
-        if part.columns:
-            found.append(part)
+        part = None if part is None else part.drop("t", "dt", "h")
+        if part is not None and part.columns:
+            found.append(canonical_columns(part))
     if not found:
         return _empty(spark, schema)
     if len(found) == 1:
@@ -129,11 +167,8 @@ def select_daily_report(
     """One day of a report, yesterday by default."""
     if day is not None:
         return select_report(df, report_type, day, day, time_column=time_column)
-    yesterday = F.date_sub(F.current_date(), 1)
-    return df.filter(
-        (F.col("report_type") == _checked_type(report_type))
-        & (F.to_date(time_column) == yesterday)
-    )
+    yesterday = df.sparkSession.sql("SELECT date_sub(current_date(), 1)").first()[0]
+    return select_report(df, report_type, yesterday, yesterday, time_column=time_column)
 
 
 def select_game_events(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from threading import Lock
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 from playerlens import schemas
 from playerlens.functions.columns import stable_id
 from playerlens.operators.staging import window_gap
-from playerlens.sinks.tables import DAY, laid_out, table_path
+from playerlens.session import cut_lineage
+from playerlens.sinks.tables import DAY, days_of, load_raw, read_table, table_path
 from playerlens.sources.normalize import normalise_report
 from playerlens.sources.readers import route_by_path
 
@@ -28,11 +32,12 @@ def stream_landing(
 ) -> list[StreamingQuery]:
     """Loads the landing files that have come since the last run into their raw tables.
 
-    One query per report type and format, started at once; each file is loaded once. A micro-batch
-    replaces its own ``_load`` partition, so one that is retried after a failure does not repeat
-    rows. CSV files have the given columns per report type, by default those of the raw table.
+    One query per report type and format, started at once; each file is loaded once. Tables have the
+    layout of the batch load, with the micro-batch in the column ``_load``: one that is retried after
+    a failure first takes out what it had already written. CSV files have the given columns per report type, by default those of the raw table.
     """
     started = []
+    locks = {name: Lock() for name in schemas.RAW_TABLES}
     for report_type, table in schemas.REPORT_TARGETS.items():
         plain = [f for f in table.schema if f.name not in ("_ingestion_timestamp", "_source")]
         names = (csv_columns or {}).get(report_type) or [f.name for f in plain]
@@ -45,7 +50,9 @@ def stream_landing(
             files = reader.format(suffix).load(f"{landing}/t={report_type}/dt=*/*")
             started.append(
                 files.select("*", F.col("_metadata.file_path").alias("_path"))
-                .writeStream.foreachBatch(_loader(root, f"{report_type}-{suffix}", table))
+                .writeStream.foreachBatch(
+                    _loader(root, f"{report_type}-{suffix}", table, locks[table.name])
+                )
                 .option("checkpointLocation", f"{checkpoint}/{report_type}-{suffix}")
                 .trigger(availableNow=True)
                 .start()
@@ -53,25 +60,48 @@ def stream_landing(
     return started
 
 
-def _loader(root: str, query: str, table: schemas.RawTable):
+def _loader(root: str, query: str, table: schemas.RawTable, lock: Lock):
+    """Several queries feed one table; they write to its folder one after the other."""
+
     def load(batch: DataFrame, batch_id: int) -> None:
         routed = route_by_path(batch, F.col("_path")).drop(
             "_path", "report_type", "report_date", "target_table"
         )
-        loaded = normalise_report(routed, table.schema, "landing").withColumns(
-            {LOAD: F.lit(f"{query}-{batch_id}"), DAY: F.to_date(table.time_column)}
-        )
-        (
-            laid_out(loaded, DAY, table.cluster_columns)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(LOAD, DAY)
-            .parquet(table_path(root, "raw", table.name))
+        mine = f"{query}-{batch_id}"
+        loaded = cut_lineage(
+            normalise_report(routed, table.schema, "landing").withColumn(LOAD, F.lit(mine))
         )
+        path = table_path(root, "raw", table.name)
+        with lock:
+            before = _already_written(batch.sparkSession, path, loaded, table, mine)
+            if before is None:
+                load_raw(loaded, path, table)
+            else:
+                both = before.drop(DAY).unionByName(loaded, allowMissingColumns=True)
+                load_raw(cut_lineage(both), path, table, mode="overwrite", only_partitions=True)
 
     return load
 
 
+def _already_written(
+    spark: SparkSession, path: str, loaded: DataFrame, table: schemas.RawTable, mine: str
+) -> DataFrame | None:
+    """Other rows of the batch's days, if part of this micro-batch is stored already; else None."""
+    try:
+        stored = read_table(spark, path, evolving=True)
+    except AnalysisException as problem:
+        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    if LOAD not in stored.columns:
+        return None
+    days = days_of(loaded, table)
+    near = stored.join(days, F.col(DAY).eqNullSafe(F.col("day")), "left_semi")
+    if near.filter(F.col(LOAD) == mine).isEmpty():
+        return None
+    return near.filter(~F.col(LOAD).eqNullSafe(mine))
+
+
 def stream_dedup(rows: DataFrame, table: schemas.RawTable, delay: str = "1 day") -> DataFrame:
     """Drops repeated keys that come within ``delay`` of each other.
 

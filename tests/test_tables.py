@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,10 +7,11 @@ from pyspark.sql import functions as F
 from checks.queries import RUN, Inputs
 from playerlens import schemas
 from playerlens.operators import quality
-from playerlens.plans import churn_job, full_run, layers
+from playerlens.plans import churn_job, daily, full_run, layers
 from playerlens.session import scratch_path
 from playerlens.sinks import tables
 from playerlens.sources import normalize, readers
+from playerlens.streaming import streams
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -128,3 +130,90 @@ def test_churn_job_modes(spark):
     with pytest.raises(ValueError):
         churn_job.churn_job(spark, "nowhere", "tune")
     assert churn_job.newest_model(spark, scratch_path(spark, "models")) is None
+
+
+def test_csv_files_are_read_by_their_own_header(spark):
+    root = scratch_path(spark, "landing")
+    folder = f"{root}/t=installs/dt=2024-01-01"
+    texts = {
+        1: "appsflyer_id,media_source\na1,x\n",
+        2: 'media_source,appsflyer_id\n"two\nlines",a2\n',
+        3: "appsflyer_id,extra,media_source\na3,e,z\n",
+    }
+    for hour, text in texts.items():
+        spark.createDataFrame([(text,)], "value STRING").coalesce(1).write.option(
+            "lineSep", "\n"
+        ).text(f"{folder}/h={hour}")
+    _rename(spark, folder, "csv")
+    rows = readers.read_landing(spark, root, "installs", date(2024, 1, 1), multi_line=True)
+    got = {r["appsflyer_id"]: (r["media_source"], r["extra"]) for r in rows.collect() if r["appsflyer_id"]}
+    assert got == {"a1": ("x", None), "a2": ("two\nlines", None), "a3": ("z", "e")}
+
+
+def _rename(spark, folder, suffix):
+    for file in Path(folder.removeprefix("file:")).rglob("part-*"):
+        file.rename(file.with_suffix(f".{suffix}"))
+
+
+def test_loading_a_day_twice_keeps_one_row_for_each_key_on_every_day(spark):
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "raw")
+    rows = spark.range(12).select(
+        F.concat(F.lit("a"), "id").alias("appsflyer_id"),
+        F.date_add(F.lit(date(2024, 1, 5)), -(F.col("id") % 3).cast("int"))
+        .cast("timestamp")
+        .alias("install_time"),
+        F.when(F.col("id") < 11, "x").alias("media_source"),
+    )
+    rows.write.parquet(f"{landing}/t=installs/dt=2024-01-05/h=1")
+    for hour in (1, 2):
+        done = daily.daily_ingest(
+            spark, landing, root, date(2024, 1, 5), loaded_at=datetime(2024, 1, 5, hour)
+        )
+        assert done["installs"]["rows"] == 12
+    stored = tables.read_table(spark, tables.table_path(root, "raw", "raw_installs"), evolving=True)
+    assert stored.count() == stored.select("appsflyer_id").distinct().count() == 12
+    assert {r[0].hour for r in stored.select("_ingestion_timestamp").distinct().collect()} == {2}
+
+
+def test_stream_and_batch_share_a_raw_table(spark):
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "raw")
+    rows = spark.range(20).select(
+        F.concat(F.lit("a"), "id").alias("appsflyer_id"),
+        F.date_add(F.lit(date(2024, 1, 5)), -(F.col("id") % 4).cast("int"))
+        .cast("timestamp")
+        .alias("install_time"),
+    )
+    rows.write.parquet(f"{landing}/t=installs/dt=2024-01-05/h=1")
+    shapes = {"installs": rows.schema}
+    for running in streams.stream_landing(
+        spark, landing, root, scratch_path(spark, "state"), parquet_schemas=shapes
+    ):
+        running.awaitTermination()
+    path = tables.table_path(root, "raw", "raw_installs")
+    assert tables.read_table(spark, path, evolving=True).count() == 20
+    result = daily.daily_ingest(spark, landing, root, date(2024, 1, 5), keep_days=2)
+    assert result["raw_installs"]["rows"] == 20
+    assert result["raw_installs"]["expired"] == ["2024-01-02"]
+    left = tables.read_table(spark, path, evolving=True)
+    assert left.count() == left.select("appsflyer_id").distinct().count() == 15
+
+
+def test_a_repeated_micro_batch_leaves_no_second_copy(spark):
+    root = scratch_path(spark, "raw")
+    table = schemas.INSTALLS
+    load = streams._loader(root, "installs-parquet", table, streams.Lock())
+    rows = spark.range(6).select(
+        F.concat(F.lit("a"), "id").alias("appsflyer_id"),
+        F.lit(datetime(2024, 1, 5)).alias("install_time"),
+        F.lit("x/t=installs/dt=2024-01-05/h=1/f").alias("_path"),
+    )
+    for batch in (0, 1, 1):
+        load(rows, batch)
+    stored = tables.read_table(spark, tables.table_path(root, "raw", table.name), evolving=True)
+    assert stored.count() == 12
+
+
+def test_the_fixture_leaves_no_event_out(spark):
+    raw = Inputs(spark, SF_DIR).raw
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    assert raw.select("event_key").distinct().count() == events.count()
