@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.scratch import with_scratch
 from playerlens.llm import secrets
 from playerlens.llm.decontaminate import decontaminate as without_benchmark
 from playerlens.llm.language import with_language
@@ -69,7 +70,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = with_scratch(prepare(spark)).read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):

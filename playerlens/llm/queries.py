@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.scratch import with_scratch
 from playerlens.llm import lm, pii, secrets, warc
 from playerlens.llm.decontaminate import contamination
 from playerlens.llm.language import held_out, with_language
@@ -17,7 +18,7 @@ from playerlens.session import cut_lineage, prepare, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return with_scratch(prepare(spark)).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
