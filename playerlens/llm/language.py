@@ -129,7 +129,7 @@ def identify(
     training rows.
     """
     base = docs.drop("lang_pred", "score", "margin", "rejected")
-    made = T.StructType(base.schema.fields).add("lang_pred", "string")
+    made = T.StructType(list(base.schema.fields)).add("lang_pred", "string")
     made = made.add("score", "double").add("margin", "double")
     out = base.mapInArrow(_predict(dictionaries, level), made)
     narrow = (F.col("margin") <= min_margin) & (F.octet_length("text") >= min_bytes)
