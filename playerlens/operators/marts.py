@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from playerlens.functions.columns import ratio
 from playerlens.operators.ranking import Ordering, ntiles
+from playerlens.session import cut_lineage
 from playerlens.settings import COMPLETION_EVENTS, RETENTION_DAYS
 
 PLAYER = "user_pseudo_id"
@@ -28,9 +29,12 @@ def _player_days(events: DataFrame) -> DataFrame:
 
 
 def daily_active(events: DataFrame) -> DataFrame:
+    return _active(_player_days(events))
+
+
+def _active(player_days: DataFrame) -> DataFrame:
     return (
-        _player_days(events)
-        .groupBy(F.col("event_date").alias("date"), "platform")
+        player_days.groupBy(F.col("event_date").alias("date"), "platform")
         .agg(
             F.count(PLAYER).alias("dau"),
             F.count_if("paid").alias("paying_users"),
@@ -44,6 +48,8 @@ def daily_active(events: DataFrame) -> DataFrame:
 def rolling_active(events: DataFrame, days: int = 30) -> DataFrame:
     """Distinct players of the trailing ``days`` for each (date, platform) with activity.
 
+    ``events`` may be any rows with date, platform and player.
+
     A player active on day d counts from d to d + days - 1. Cutting each such span where the
     player's previous one still runs leaves spans that do not overlap, so a running sum of
     "enters" and "leaves" per date is the distinct count: two small rows per player-day, and
@@ -98,9 +104,10 @@ def mart_daily_kpis(
     events: DataFrame, sessions: DataFrame, users: DataFrame, days: int = 30
 ) -> DataFrame:
     day = ["date", "platform"]
+    player_days = cut_lineage(_player_days(events))  # both counts of players come from it
     joined = (
-        daily_active(events)
-        .join(rolling_active(events, days), day, "left")
+        _active(player_days)
+        .join(rolling_active(player_days, days), day, "left")
         .join(daily_sessions(sessions), day, "left")
         .join(daily_new_users(users), day, "left")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playerlens.functions.columns import sunday_week, week_label
+from playerlens.session import cut_lineage
 from playerlens.settings import AD_EVENTS, LEVEL_EVENTS, PURCHASE_EVENTS, REVENUE_EVENTS
 
 PLAYER = "user_pseudo_id"
@@ -82,21 +83,51 @@ def first_touch(events: DataFrame, columns=FIRST_TOUCH) -> DataFrame:
     return events.groupBy(PLAYER).agg(touch.alias("touch")).select(PLAYER, "touch.*")
 
 
+def _account_days(events: DataFrame) -> DataFrame:
+    """What the user dimension needs, reduced to one row per (player, account, day)."""
+    bought = F.col("event_name").isin(*PURCHASE_EVENTS) & (F.col("event_value_usd") > 0)
+    return events.groupBy(PLAYER, "user_id", "event_date").agg(
+        F.min("event_timestamp").alias("first_timestamp"),
+        F.min("user_first_touch_timestamp").alias("first_touch_timestamp"),
+        F.sum("event_value_usd").alias("revenue"),
+        F.count_if(bought).alias("purchases"),
+        F.max("param_level").alias("max_level"),
+        F.sum("engagement_time_msec").alias("engagement_msec"),
+        F.count(F.lit(1)).alias("events"),
+    )
+
+
 def dim_users(events: DataFrame, ref_date: date, one_row_per_player: bool = False) -> DataFrame:
     """One row per (player, account); lifetime values and first-touch attributes per player.
 
     ``one_row_per_player`` keeps the earliest account only, so totals are not repeated.
     """
-    seen = first_seen(events)
+    days = cut_lineage(_account_days(events))
+    seen = days.groupBy(PLAYER, "user_id").agg(
+        F.min("event_date").alias("first_seen_date"),
+        F.min("first_timestamp").alias("first_seen_timestamp"),
+        F.min("first_touch_timestamp").alias("first_touch_timestamp"),
+    )
+    activity = days.groupBy(PLAYER).agg(
+        F.max("event_date").alias("last_active_date"),
+        F.countDistinct("event_date").alias("active_days"),
+        F.sum("revenue").alias("total_revenue"),
+        F.sum("purchases").alias("purchase_count"),
+        F.max("max_level").alias("max_level"),
+        (F.sum("engagement_msec").cast("double") / 1000.0 / 60.0).alias(
+            "total_engagement_minutes"
+        ),
+        F.sum("events").alias("total_events"),
+    )
     if one_row_per_player:
         earliest = F.min(
             F.struct("first_seen_timestamp", "user_id", "first_seen_date", "first_touch_timestamp")
         )
         seen = seen.groupBy(PLAYER).agg(earliest.alias("s")).select(PLAYER, "s.*")
-    # All three are by player, so the joins add no shuffle. Activity and first touch are kept apart:
-    # text in the latter's buffer would turn the former's hash aggregates into sorts.
+    # Events are read twice: once for the stored account-days, in hash aggregates, and once for the
+    # first touch, whose texts need a sorting aggregate.
     return (
-        seen.join(lifetime_activity(events), PLAYER, "left")
+        seen.join(activity, PLAYER, "left")
         .join(first_touch(events), PLAYER, "left")
         .select(
             PLAYER,
