@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from playerlens.functions.columns import ratio
 from playerlens.operators.ranking import Ordering, ntiles
-from playerlens.session import cut_lineage
 from playerlens.settings import COMPLETION_EVENTS, RETENTION_DAYS
 
 PLAYER = "user_pseudo_id"
@@ -29,12 +28,9 @@ def _player_days(events: DataFrame) -> DataFrame:
 
 
 def daily_active(events: DataFrame) -> DataFrame:
-    return _active(_player_days(events))
-
-
-def _active(player_days: DataFrame) -> DataFrame:
     return (
-        player_days.groupBy(F.col("event_date").alias("date"), "platform")
+        _player_days(events)
+        .groupBy(F.col("event_date").alias("date"), "platform")
         .agg(
             F.count(PLAYER).alias("dau"),
             F.count_if("paid").alias("paying_users"),
@@ -48,8 +44,6 @@ def _active(player_days: DataFrame) -> DataFrame:
 def rolling_active(events: DataFrame, days: int = 30) -> DataFrame:
     """Distinct players of the trailing ``days`` for each (date, platform) with activity.
 
-    ``events`` may be any rows with date, platform and player.
-
     A player active on day d counts from d to d + days - 1. Cutting each such span where the
     player's previous one still runs leaves spans that do not overlap, so a running sum of
     "enters" and "leaves" per date is the distinct count: two small rows per player-day, and
@@ -84,6 +78,48 @@ def rolling_active(events: DataFrame, days: int = 30) -> DataFrame:
     )
 
 
+def _daily_and_rolling(events: DataFrame, days: int) -> DataFrame:
+    """``daily_active`` with ``mau`` of ``rolling_active``, from one pass over the events.
+
+    The step that marks a date with activity carries the player-day's figures.
+    """
+    previous = F.lag("event_date").over(
+        Window.partitionBy(PLAYER, "platform").orderBy("event_date")
+    )
+    figures = {"paid": "boolean", "revenue": "double", "events": "bigint"}
+
+    def step(day: Column, change: int, seen: bool = False) -> Column:
+        own = [
+            (F.col(c) if seen else F.lit(None)).cast(kind).alias(c) for c, kind in figures.items()
+        ]
+        return F.struct(
+            day.alias("date"), F.lit(change).alias("change"), F.lit(seen).alias("seen"), *own
+        )
+
+    enters = F.greatest("event_date", F.date_add(previous, days))
+    leaves = F.date_add("event_date", days)
+    changes = F.array(step(F.col("event_date"), 0, True), step(enters, 1), step(leaves, -1))
+    steps = _player_days(events).select("platform", changes.alias("steps"))
+    per_date = (
+        steps.select("platform", F.inline("steps"))
+        .groupBy("date", "platform")
+        .agg(
+            F.sum("change").alias("change"),
+            F.count_if("seen").alias("dau"),
+            F.count_if("paid").alias("paying_users"),
+            F.sum("revenue").alias("total_revenue"),
+            F.sum("events").alias("total_events"),
+        )
+    )
+    so_far = Window.partitionBy("platform").orderBy("date")
+    known = F.col("platform").isNotNull() & F.col("date").isNotNull()
+    return (
+        per_date.withColumn("mau", F.when(known, F.sum("change").over(so_far)))
+        .filter("dau > 0")
+        .drop("change")
+    )
+
+
 def daily_sessions(sessions: DataFrame) -> DataFrame:
     return sessions.groupBy(F.col("session_date").alias("date"), "platform").agg(
         F.count(F.lit(1)).alias("total_sessions"),
@@ -104,10 +140,8 @@ def mart_daily_kpis(
     events: DataFrame, sessions: DataFrame, users: DataFrame, days: int = 30
 ) -> DataFrame:
     day = ["date", "platform"]
-    player_days = cut_lineage(_player_days(events))  # both counts of players come from it
     joined = (
-        _active(player_days)
-        .join(rolling_active(player_days, days), day, "left")
+        _daily_and_rolling(events, days)
         .join(daily_sessions(sessions), day, "left")
         .join(daily_new_users(users), day, "left")
     )

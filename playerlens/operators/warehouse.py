@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playerlens.functions.columns import sunday_week, week_label
-from playerlens.session import cut_lineage
 from playerlens.settings import AD_EVENTS, LEVEL_EVENTS, PURCHASE_EVENTS, REVENUE_EVENTS
 
 PLAYER = "user_pseudo_id"
@@ -102,33 +101,46 @@ def dim_users(events: DataFrame, ref_date: date, one_row_per_player: bool = Fals
 
     ``one_row_per_player`` keeps the earliest account only, so totals are not repeated.
     """
-    days = cut_lineage(_account_days(events))
+    of_player = Window.partitionBy(PLAYER)
+    minutes = F.sum("engagement_msec").over(of_player).cast("double") / 1000.0 / 60.0
+    totals = {
+        "last_active_date": F.max("event_date").over(of_player),
+        "active_days": F.size(F.collect_set("event_date").over(of_player)).cast("bigint"),
+        "total_revenue": F.sum("revenue").over(of_player),
+        "purchase_count": F.sum("purchases").over(of_player),
+        "max_level": F.max("max_level").over(of_player),
+        "total_engagement_minutes": minutes,
+        "total_events": F.sum("events").over(of_player),
+    }
+    days = _account_days(events).select(
+        PLAYER,
+        "user_id",
+        "event_date",
+        "first_timestamp",
+        "first_touch_timestamp",
+        *[c.alias(name) for name, c in totals.items()],
+    )
     seen = days.groupBy(PLAYER, "user_id").agg(
         F.min("event_date").alias("first_seen_date"),
         F.min("first_timestamp").alias("first_seen_timestamp"),
         F.min("first_touch_timestamp").alias("first_touch_timestamp"),
-    )
-    activity = days.groupBy(PLAYER).agg(
-        F.max("event_date").alias("last_active_date"),
-        F.countDistinct("event_date").alias("active_days"),
-        F.sum("revenue").alias("total_revenue"),
-        F.sum("purchases").alias("purchase_count"),
-        F.max("max_level").alias("max_level"),
-        (F.sum("engagement_msec").cast("double") / 1000.0 / 60.0).alias(
-            "total_engagement_minutes"
-        ),
-        F.sum("events").alias("total_events"),
+        *[F.max(name).alias(name) for name in totals],
     )
     if one_row_per_player:
         earliest = F.min(
-            F.struct("first_seen_timestamp", "user_id", "first_seen_date", "first_touch_timestamp")
+            F.struct(
+                "first_seen_timestamp",
+                "user_id",
+                "first_seen_date",
+                "first_touch_timestamp",
+                *totals,
+            )
         )
         seen = seen.groupBy(PLAYER).agg(earliest.alias("s")).select(PLAYER, "s.*")
-    # Events are read twice: once for the stored account-days, in hash aggregates, and once for the
-    # first touch, whose texts need a sorting aggregate.
+    # Events are read twice: once in hash aggregates down to account-days, of which a player has few
+    # rows, and once for the first touch, whose texts need a sorting aggregate.
     return (
-        seen.join(activity, PLAYER, "left")
-        .join(first_touch(events), PLAYER, "left")
+        seen.join(first_touch(events), PLAYER, "left")
         .select(
             PLAYER,
             "user_id",

@@ -11,7 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from playerlens.operators import marts, staging, warehouse
 from playerlens.operators.funnel import level_funnel_enriched
 from playerlens.settings import Settings
-from playerlens.sinks.tables import read_table, table_path, write_table
+from playerlens.sinks.tables import (
+    create_layers,
+    read_table,
+    register_table,
+    table_path,
+    write_table,
+)
 
 Inputs = dict[str, DataFrame]
 
@@ -163,15 +169,19 @@ def run_layers(
     layer: str = "all",
     dry_run: bool = False,
     settings: Settings = Settings(),
+    register: str | None = None,
 ) -> dict[str, dict]:
     """Builds and stores the tables of one layer or of all, from the tables stored below ``root``.
 
     Each table is stored once and its dependents read it back. A failed table does not stop the
     run, but tables that need it are skipped rather than built on what an earlier run left. A dry
-    run reports the optimised plans and runs none.
+    run reports the optimised plans and runs none. With ``register``, a prefix, the layers' namespaces
+    are created and every stored table can be read as ``prefix_layer.table``.
     """
     if layer != "all" and layer not in RUN_LAYERS:
         raise ValueError(f"unknown layer {layer!r}; one of {', '.join(RUN_LAYERS)}, all")
+    if register and not dry_run:
+        create_layers(spark, register)
     report: dict[str, dict] = {}
     unusable: set[str] = set()
     planned: dict[str, DataFrame | None] = {}
@@ -194,6 +204,9 @@ def run_layers(
             rows = write_table(
                 df, stored_path(root, plan.name), "overwrite", plan.partition, plan.cluster
             )
+            if register:
+                path = stored_path(root, plan.name)
+                register_table(spark, path, plan.layer, plan.name, register)
             report[plan.name] = {
                 "status": "success",
                 "rows": rows,

@@ -31,6 +31,19 @@ def create_layers(spark: SparkSession, prefix: str = "game") -> list[str]:
     return names
 
 
+def register_table(spark: SparkSession, path: str, layer: str, name: str, prefix: str) -> str:
+    """Makes a stored table readable by name, ``prefix_layer.name``, and returns that name.
+
+    An entry of that name is replaced; the files are left alone.
+    """
+    full = f"`{prefix}_{layer}`.`{name}`"
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    spark.catalog.createTable(f"{prefix}_{layer}.{name}", path, "parquet")
+    if any(c.isPartition for c in spark.catalog.listColumns(f"{prefix}_{layer}.{name}")):
+        spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+    return f"{prefix}_{layer}.{name}"
+
+
 def read_table(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame:
     """A stored table.
 

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.queries import REF, Inputs
-from playerlens.operators import evaluation, features, funnel, marts
+from playerlens.operators import evaluation, features, funnel, marts, warehouse
+from playerlens.session import cut_lineage
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 
@@ -146,3 +147,14 @@ def test_metrics_of_a_single_class(spark):
     assert got["auc_roc"] is None and got["precision"] == 0 and got["accuracy"] == 1
     gates = evaluation.passes_gates(evaluation.binary_metrics(df, "label", "p")).first()
     assert gates["passed"] is False
+
+
+def test_events_are_scanned_at_most_twice(spark):
+    built = Inputs(spark, "/root/testdata/sf0.001")
+    events, sessions, users = map(cut_lineage, (built.events, built.sessions, built.users))
+    for df, most in (
+        (warehouse.dim_users(events, REF), 2),
+        (marts.mart_daily_kpis(events, sessions, users), 3),
+    ):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert 0 < plan.count("FileScan") <= most

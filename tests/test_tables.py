@@ -217,3 +217,16 @@ def test_the_fixture_leaves_no_event_out(spark):
     raw = Inputs(spark, SF_DIR).raw
     events = spark.read.parquet(f"{SF_DIR}/events.parquet")
     assert raw.select("event_key").distinct().count() == events.count()
+
+
+def test_stored_tables_can_be_read_by_name(spark):
+    root = scratch_path(spark, "tables")
+    tables.write_table(
+        Inputs(spark, SF_DIR).raw.drop("event_key"), layers.stored_path(root, "raw_events")
+    )
+    for _ in range(2):
+        report = layers.run_layers(spark, root, "staging", settings=RUN, register="named")
+    rows = {name: r["rows"] for name, r in report.items()}
+    assert rows and all(spark.table(f"named_staging.{n}").count() == c for n, c in rows.items())
+    for layer in tables.LAYERS:
+        spark.sql(f"DROP SCHEMA named_{layer} CASCADE")
