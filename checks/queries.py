@@ -917,6 +917,55 @@ def churn_scores(i: Inputs) -> DataFrame:
     return churn.score_players(churn.load_model(i.spark, path), i.stored_features, REF)
 
 
+@query
+def churn_scores_checked(i: Inputs) -> DataFrame:
+    """Per player: do class and tier follow from the probability, and is it one."""
+    model = _model(i)
+    loaded = churn.load_model(i.spark, churn.save_model(i.spark, model, i.scratch("models")))
+    before = churn.score_players(model, i.stored_features, REF)
+    after = churn.score_players(loaded, i.stored_features, REF)
+    p = F.col("churn_probability")
+    again = before.select(PLAYER, p.alias("trained"))
+    edges = ((0.2, "very_low"), (0.4, "low"), (0.6, "medium"), (0.8, "high"), (1.0, "very_high"))
+    at_most = [name for _, name in edges]
+    tier = F.element_at(
+        F.array(*map(F.lit, at_most)), F.greatest(F.ceil(p * 5), F.lit(1)).cast("int")
+    )
+    return after.join(again, PLAYER).select(
+        PLAYER,
+        p.between(0, 1).alias("is_probability"),
+        (F.col("predicted_churn") == (p >= 0.5).cast("int")).alias("class_follows"),
+        F.col("risk_tier").eqNullSafe(F.when(p > 0, tier)).alias("tier_follows"),
+        (p == F.col("trained")).alias("same_after_loading"),
+    )
+
+
+@query
+def model_checked(i: Inputs) -> DataFrame:
+    """Importances, stored descriptions and cross-validation of a model in one row of findings."""
+    model = _model(i)
+    weights = churn.feature_importance(model, 1000)
+    path = i.scratch("model_metadata")
+    for _ in range(2):
+        tables.append_table(churn.model_metadata(i.spark, model), path)
+    history = dashboards.model_history(tables.read_table(i.spark, path))
+    inside = reduce(
+        lambda a, b: a & b,
+        [F.col(c).between(0, 1) for c in ("auc_roc", "f1_score", "precision", "recall")],
+    )
+    matrix = churn.training_matrix(i.stored_features)
+    crossed = churn.cross_validated_auc(cut_lineage(matrix.rows), matrix.columns, SMALL_MODEL)
+    return weights.agg(
+        (F.count(F.lit(1)) == len(model.columns)).alias("all_features"),
+        F.sum("importance").between(0.999, 1.001).alias("sums_to_one"),
+    ).select(
+        "*",
+        history.agg(F.count(F.lit(1))).scalar().alias("models"),
+        history.agg(F.bool_and(inside)).scalar().alias("metrics_in_range"),
+        F.lit(0 <= crossed["cv_auc_mean"] <= 1).alias("auc_in_range"),
+    )
+
+
 @query
 def feature_importance(i: Inputs) -> DataFrame:
     return churn.feature_importance(_model(i))
