@@ -124,6 +124,17 @@ def space_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def sample_of(rows: DataFrame, column: str, n: int) -> DataFrame:
+    """About ``n`` distinct values of ``column`` at most, chosen by their hash alone.
+
+    The share that is kept follows from the row count, so tasks give up only what is used; equal
+    values are merged before they meet.
+    """
+    share = max(1, -(-rows.count() // n))
+    kept = rows.filter(F.pmod(F.xxhash64(column), F.lit(share)) == 0).select(column).distinct()
+    return kept.orderBy(F.xxhash64(column), column).limit(n)
+
+
 def set_aside(docs: DataFrame, names: list[str]) -> tuple[DataFrame, list[Column]]:
     """``docs`` with its columns called ``names`` renamed, and how to select all columns as before."""
     aside = {c: f"_own_{c}" for c in docs.columns if c in names}
