@@ -43,19 +43,25 @@ def learn(
 ) -> dict[str, bytes]:
     """A dictionary for each language from ``text, lang`` rows, the most frequent language first.
 
-    The sample is bounded: of each language the ``rows_per_language`` rows with the least hash of
-    their text, and of each text the part that fits its share of the dictionary twice over. Nothing
-    but this fit is sampled.
+    The sample is bounded: of each language at most ``rows_per_language`` different texts chosen by
+    hash, and of each the part that fits its share of the dictionary twice over. Nothing but this fit
+    is sampled. Languages are taken to be few; their counts come to the driver.
     """
     share = 2 * dict_bytes // rows_per_language
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    order = Window.partitionBy("lang").orderBy("h", "text")
     usable = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
     sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    one_in = F.lit(1)
+    for name, n in sizes.items():
+        one_in = F.when(F.col("lang") == name, max(1, n // rows_per_language)).otherwise(one_in)
     sample = (
-        usable.select("lang", "text")
+        usable.select("lang", "text", F.xxhash64("text").alias("h"))
+        .filter(F.pmod("h", one_in) == 0)
+        .select("lang", "h", F.substring("text", 1, share).alias("text"))
+        .distinct()
         .withColumn("n", F.row_number().over(order))
         .filter(F.col("n") <= rows_per_language)
-        .select("lang", "n", F.substring("text", 1, share).alias("text"))
+        .select("lang", "n", "text")
     )
     parts: dict[str, list[str]] = {}
     for row in sorted(sample.collect()):
