@@ -19,6 +19,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playerlens.llm.text import sample_of
+
 # The magic numbers of a data frame, of skippable frames (the low four bits are free)
 # and of the one that holds a dictionary.
 _FRAME, _SKIP, _DICTIONARY = 0xFD2FB528, 0x184D2A50, 0x184D2A5D
@@ -32,13 +34,12 @@ _CRLF = b"\r\n"
 def train_dictionary(
     pages: DataFrame, *, sample_rows: int = 500, sample_chars: int = 20_000, size: int = 64 << 10
 ) -> bytes:
-    """A dictionary from the ``sample_rows`` payloads with the least hash, at most ``sample_chars`` of each.
+    """A dictionary from at most ``sample_rows`` payloads, the first ``sample_chars`` of each.
 
     Empty when there is too little to train on.
     """
-    html = pages.select("html").filter("html IS NOT NULL AND html <> ''")
-    order = html.orderBy(F.xxhash64("html"), "html").limit(sample_rows)
-    sample = [r[0].encode() for r in order.select(F.substring("html", 1, sample_chars)).collect()]
+    html = pages.select(F.substring("html", 1, sample_chars).alias("html")).filter("html <> ''")
+    sample = [r[0].encode() for r in sample_of(html, "html", sample_rows).collect()]
     try:
         return zstandard.train_dictionary(min(size, sum(map(len, sample)) // 4), sample).as_bytes()
     except (zstandard.ZstdError, ValueError):
