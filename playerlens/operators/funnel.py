@@ -94,6 +94,7 @@ def funnel_scorecard(enriched: DataFrame, lowest: int, highest: int) -> DataFram
 
 def problem_levels(enriched: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` hardest levels among those with a severe or warning drop."""
+    # What to do about a level.
     action = (
         F.when(F.col("severity") != "severe", "Monitor / Tune")
         .when(F.col("avg_attempts") > MANY_ATTEMPTS, "Nerf difficulty")
