@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playerlens.llm.spans import MATCH, labelled, listed, matches, overlaps, replaced
+from playerlens.llm.text import sample_of
 
 KINDS = ("assign", "access", "hex", "random")
 # The formats, in the order in which they are listed.
@@ -86,8 +87,8 @@ def learn(
 ) -> str | None:
     """The log ratios as a JSON array; None when there is nothing to learn from on either side.
 
-    ``found`` comes from ``scan``: all its format matches are used. The ordinary words come from the
-    ``sample_rows`` texts with the least hash; strings that are candidates themselves have no label.
+    ``found`` comes from ``scan``: all its format matches are used. The ordinary words come from at
+    most ``sample_rows`` texts, chosen by hash; strings that are candidates themselves have no label.
     """
     secret = F.concat(
         F.transform("assign", lambda m: _assigned(m["value"])),
@@ -95,8 +96,7 @@ def learn(
         F.transform("hex", lambda m: m["value"]),
     )
     random = {r[0]: r[1] for r in _pairs(found.select(F.explode(secret).alias("s"))).collect()}
-    plain = docs.select("text").filter("text IS NOT NULL").orderBy(F.xxhash64("text"), "text")
-    plain = plain.limit(sample_rows).filter(
+    plain = sample_of(docs.select("text").filter("text IS NOT NULL"), "text", sample_rows).filter(
         ~(F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX))
     )
     words = plain.select(F.explode(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0))).alias("s"))
