@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from playerlens.llm.text import LOWER, WordHasher, mix64, signed
 from playerlens.session import cut_lineage
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 10 << 20
 #: The hash that stands for the end of a text.
 END = 0x5851F42D4C957F2D
 _BUCKETS = 4  # of word counts, for each power of two
