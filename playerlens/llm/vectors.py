@@ -167,7 +167,7 @@ def nearest(
     those of their own length. Rows that repeat an id and a vector count once.
     """
     q, q_tiles = _tiled(usable(queries).distinct(), query_tile)
-    c, c_tiles = _tiled(usable(vectors), candidate_tile)
+    c, c_tiles = _tiled(usable(vectors).distinct(), candidate_tile)
     number = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     left = q.join(c_tiles, "dim").select("dim", F.col("tile").alias("i"), number("tiles").alias("j"), "vec_id", "v")
     right = c.join(q_tiles, "dim").select("dim", number("tiles").alias("i"), F.col("tile").alias("j"), "vec_id", "v")

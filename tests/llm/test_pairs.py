@@ -193,3 +193,15 @@ def test_nearest_equals_brute_force(spark, tiles):
     empty = df.limit(0)
     assert vectors.nearest(empty, empty).count() == 0
     assert vectors.nearest(df, empty).count() == 0
+
+
+@pytest.mark.parametrize("tiles", [(2048, 8192), (3, 7)])
+def test_repeated_rows_take_no_neighbours_place(spark, tiles):
+    rng = np.random.default_rng(9)
+    once = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(30)]
+    df = spark.createDataFrame(once * 2 + once[:3] * 7, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in vectors.nearest(df, df, query_tile=tiles[0], candidate_tile=tiles[1]).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"]))
+    for q, near in neighbours(once, range(30), 5).items():
+        assert sorted(got[q]) == [(k + 1, i) for k, (_, i) in enumerate(near)]
