@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playerlens.llm.text import fold
+from playerlens.llm.text import fold, share_of
+from playerlens.session import cut_lineage
 
 UNKNOWN = "und"
 DICT_BYTES = 96 << 10
@@ -38,6 +39,33 @@ def letters(text: bytes | None) -> bytes:
     return b""
 
 
+def drawn(docs: DataFrame, n: int) -> tuple[DataFrame, dict[str, int]]:
+    """``lang, text, n``: of each language ``n`` distinct texts, or all, numbered; and its row count.
+
+    Texts are chosen by hash. The share that is kept follows from an estimate of the distinct texts
+    of a language, and is enlarged where it leaves too few.
+    """
+    usable = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND text <> ''").select(
+        "lang", "text", F.xxhash64("text").alias("h")
+    )
+    counts = usable.groupBy("lang").agg(F.count("*"), F.approx_count_distinct("h")).collect()
+    sizes = {name: rows for name, rows, _ in counts}
+    shares = {name: share_of(distinct, n) for name, _, distinct in counts}
+    while True:
+        one_in = F.lit(1)
+        for name, share in shares.items():
+            one_in = F.when(F.col("lang") == name, share).otherwise(one_in)
+        kept = cut_lineage(usable.filter(F.pmod("h", one_in) == 0).distinct())
+        left = {r["lang"]: r["count"] for r in kept.groupBy("lang").count().collect()}
+        short = [k for k, share in shares.items() if share > 1 and left.get(k, 0) < n]
+        if not short:
+            break
+        shares |= {k: shares[k] // 2 for k in short}
+    order = Window.partitionBy("lang").orderBy("h", "text")
+    numbered = kept.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= n)
+    return numbered.select("lang", "text", "n"), sizes
+
+
 def learn(
     docs: DataFrame, *, rows_per_language: int = 400, dict_bytes: int = DICT_BYTES
 ) -> dict[str, bytes]:
@@ -47,24 +75,14 @@ def learn(
     hash, and of each the part that fits its share of the dictionary twice over. Nothing but this fit
     is sampled. Languages are taken to be few; their counts come to the driver.
     """
-    share = 2 * dict_bytes // rows_per_language
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    usable = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
-    one_in = F.lit(1)
-    for name, n in sizes.items():
-        one_in = F.when(F.col("lang") == name, max(1, n // rows_per_language)).otherwise(one_in)
-    sample = (
-        usable.select("lang", "text", F.xxhash64("text").alias("h"))
-        .filter(F.pmod("h", one_in) == 0)
-        .select("lang", "h", F.substring("text", 1, share).alias("text"))
-        .distinct()
-        .withColumn("n", F.row_number().over(order))
-        .filter(F.col("n") <= rows_per_language)
-        .select("lang", "n", "text")
-    )
+    sample, sizes = drawn(docs, rows_per_language)
+    return _dictionaries(sample, sizes, rows_per_language, dict_bytes)
+
+
+def _dictionaries(sample: DataFrame, sizes: dict[str, int], rows: int, dict_bytes: int) -> dict[str, bytes]:
+    start = F.substring("text", 1, 2 * dict_bytes // rows)
     parts: dict[str, list[str]] = {}
-    for row in sorted(sample.collect()):
+    for row in sorted(sample.select("lang", "n", start.alias("text")).collect()):
         parts.setdefault(row["lang"], []).append(row["text"])
     names = sorted(parts, key=lambda k: (-sizes[k], k))
     return {k: letters("\n".join(parts[k]).encode())[:dict_bytes] for k in names}

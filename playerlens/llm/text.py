@@ -12,6 +12,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playerlens.session import cut_lineage
+
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 #: Everything below 0x80 but digits and letters becomes a space.
@@ -125,14 +127,24 @@ def space_words(text: Column) -> Column:
 
 
 def sample_of(rows: DataFrame, column: str, n: int) -> DataFrame:
-    """About ``n`` distinct values of ``column`` at most, chosen by their hash alone.
+    """``n`` distinct values of ``column``, or all when there are fewer, chosen by their hash alone.
 
-    The share that is kept follows from the row count, so tasks give up only what is used; equal
-    values are merged before they meet.
+    The share that is kept follows from an estimate of how many distinct values there are, so copies
+    do not shrink the sample; tasks give up only what is used, and equal values are merged before
+    they meet. Should too few be kept, a larger share is drawn.
     """
-    share = max(1, -(-rows.count() // n))
-    kept = rows.filter(F.pmod(F.xxhash64(column), F.lit(share)) == 0).select(column).distinct()
-    return kept.orderBy(F.xxhash64(column), column).limit(n)
+    share = share_of(rows.agg(F.approx_count_distinct(F.xxhash64(column))).first()[0], n)
+    while True:
+        kept = rows.filter(F.pmod(F.xxhash64(column), F.lit(share)) == 0).select(column).distinct()
+        kept = cut_lineage(kept)
+        if share == 1 or kept.count() >= n:
+            return kept.orderBy(F.xxhash64(column), column).limit(n)
+        share //= 2
+
+
+def share_of(distinct: int, n: int) -> int:
+    """One in how many hashes leaves about half as many again as ``n`` of ``distinct`` values."""
+    return max(1, 2 * distinct // (3 * n))
 
 
 def set_aside(docs: DataFrame, names: list[str]) -> tuple[DataFrame, list[Column]]:

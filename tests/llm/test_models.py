@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from playerlens.llm import language, lm, urls
-from playerlens.llm.text import LOWER, WordHasher
+from playerlens.llm.text import LOWER, WordHasher, sample_of
 
 SF = "/root/testdata/sf0.01"
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -46,6 +46,18 @@ def test_a_tie_of_a_long_text_is_rejected(spark, documents):
     assert [r["rejected"] for r in sorted(rows)] == [True, False]
 
 
+@pytest.mark.parametrize("texts", [3, 60])
+def test_copies_do_not_shrink_samples(spark, texts):
+    # Few texts in large groups of copies: a share of the rows leaves next to none of them.
+    rows = spark.range(texts * 1000).selectExpr(
+        f"concat('some text number ', id % {texts}) AS text", f"if(id % {texts} < 2, 'xx', 'yy') AS lang"
+    )
+    assert sample_of(rows, "text", 20).count() == min(20, texts)
+    kept = language.drawn(rows, 20)[0].groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in kept} == {"xx": 2, "yy": min(20, texts - 2)}
+    assert set(language.learn(rows, rows_per_language=20)) == {"xx", "yy"}
+
+
 def words(text):
     return [*re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW)), None]
 
