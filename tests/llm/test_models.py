@@ -46,6 +46,24 @@ def test_a_tie_of_a_long_text_is_rejected(spark, documents):
     assert [r["rejected"] for r in sorted(rows)] == [True, False]
 
 
+def test_unlearned_languages_and_gibberish_are_rejected(spark, documents):
+    rng = np.random.default_rng(4)
+    own = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    long = F.octet_length("text") >= language.MIN_BYTES
+    letter = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    odd = [(-i, " ".join(letter(rng.integers(2, 10)) for _ in range(150))) for i in range(1, 41)]
+    odd += [(-i, "".join(rng.choice([*"ABCDEFGHIJKLMNOPabcdefghijklmnop0123456789+/"], 800))) for i in range(41, 81)]
+    odd = spark.createDataFrame(odd, "doc_id long, text string").withColumn("lang", F.lit(None).cast("string"))
+    # French is in the table, but no row of it has a label.
+    strange = own.filter((F.col("lang") == "fr") & long).withColumn("lang", F.lit(None).cast("string"))
+    learned = own.filter("lang <> 'fr'")
+    docs = learned.withColumn("kind", F.lit("clean")).union(odd.withColumn("kind", F.lit("odd")))
+    docs = docs.union(strange.withColumn("kind", F.lit("strange")))
+    found = language.with_language(docs).filter(long).groupBy("kind").agg(F.avg(F.col("rejected").cast("int")))
+    share = dict(found.collect())
+    assert share["clean"] < 0.02 and share["odd"] > 0.98 and share["strange"] > 0.9, share
+
+
 @pytest.mark.parametrize("texts", [3, 60])
 def test_copies_do_not_shrink_samples(spark, texts):
     # Few texts in large groups of copies: a share of the rows leaves next to none of them.
