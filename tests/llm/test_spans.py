@@ -91,6 +91,22 @@ def test_trees_add_spans_and_keep_the_base(spark, documents):
     assert same == model
 
 
+def test_trees_find_other_formats_and_spare_other_numbers(spark, documents):
+    # Candidates of one place and form are one example, so places differ.
+    rows = [(i, "so " * i + f"please call me at phone +1 (555) 010-{i:04d} today") for i in range(120)]
+    rows += [(200 + i, "so " * i + f"write to u{i}@mail.example.com about it") for i in range(120)]
+    rows += [(400 + i, "so " * i + f"we sent you order 555-{i:03d}-4321 and paid 1,{i:03d},250 then") for i in range(120)]
+    rows += [(600, "call my mobile phone (555) 010-4321 now"), (601, "mail jo.doe (at) site [dot] com please")]
+    rows += [(602, "contact: jo (at) mail [dot] site [dot] org. Thanks"), (603, "see order 555-010-4321 again")]
+    found = pii.scan(documents(rows).select("doc_id", "text"))
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(found, pii.learn(found)).collect()}
+    text = dict(rows)
+    part = lambda i: [text[i][int(s.split(":")[1]) : int(s.split(":")[2])] for s in got[i].split(",") if s]
+    assert part(600) == ["(555) 010-4321"] and part(601) == ["jo.doe (at) site [dot] com"]
+    assert part(602) == ["jo (at) mail [dot] site [dot] org"] and part(603) == []
+    assert all("other" not in got[i] for i in text if i < 600)
+
+
 def test_trees_as_sql_agree_with_the_model(spark, documents):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector, vector_to_array
