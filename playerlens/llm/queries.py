@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.scratch import with_scratch
-from playerlens.llm import lm, pii, secrets, warc
+from playerlens.llm import conversations, lm, pii, secrets, warc
 from playerlens.llm.decontaminate import contamination
 from playerlens.llm.language import held_out, with_language
 from playerlens.llm.minhash import near_duplicates
@@ -95,6 +95,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = conversations.repair(conversations.damaged(rows))
+    return conversations.repaired_digest(rows, fixed)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -106,13 +112,95 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_lm": op9_lm,
     "op10_mixing": op10_mixing,
+    "op11_conversations": op11_conversations,
 }
 
 LOWER_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 WORD_SQL = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, byte by byte through the table of its polynomial."""
+    table = []
+    for c in range(256):
+        for _ in range(8):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    return f"""xor(list_reduce(
+      list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT)),
+      lambda c, b: xor(CAST({table} AS BIGINT[])[(xor(c, b) & 255) + 1], c >> 8),
+      CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+
 ORACLE_SQL = {
+    "op11_conversations": f"""
+WITH RECURSIVE coded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS code
+  FROM conversations
+), rows AS (
+  SELECT coalesce('=' || conv_id, '') AS conv, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE code WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM coded
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text[1:64], md5(text), copy) AS i,
+    regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare, role[1:1] AS initial
+  FROM rows
+), judged AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN bare[-1:] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    coalesce(lag(initial) OVER (PARTITION BY conv ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), false) AS wrong
+  FROM placed
+), step(p, c, q) AS (
+  VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), added(p, q, cost, audit, made) AS (
+  SELECT s, s, 0, '', CAST([] AS VARCHAR[]) FROM (VALUES (0), (1), (2), (3)) t(s)
+  UNION ALL SELECT p, q, 2, 'I', [CASE c WHEN 'u' THEN 'user:' ELSE 'assistant:' END] FROM step WHERE c <> 's'
+  UNION ALL SELECT s, 3, 4, 'II', ['user:', 'assistant:'] FROM (VALUES (0), (1)) t(s)
+), edits AS (
+  SELECT conv, i, s AS p, s AS q, 3 AS cost, 'D' AS audit, CAST([] AS VARCHAR[]) AS made
+  FROM judged, (VALUES (0), (1), (2), (3)) t(s)
+  UNION ALL
+  SELECT conv, i, p, q, CAST(fault = 'truncated' AS INTEGER), 'K', [role || ':' || text]
+  FROM judged JOIN step ON c = initial WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL
+  SELECT conv, i, p, q, 2 + CAST(fault = 'truncated' AS INTEGER), 'R',
+    [CASE c WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text]
+  FROM judged JOIN step ON c <> 's' WHERE fault NOT IN ('blank', 'duplicate')
+), moves AS (
+  SELECT conv, i, a.p, e.q, a.cost + e.cost AS cost, a.audit || e.audit AS audit, list_concat(a.made, e.made) AS made
+  FROM edits e JOIN added a ON a.q = e.p
+), walk AS (
+  SELECT DISTINCT conv, CAST(0 AS BIGINT) AS i, 0 AS state, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS made
+  FROM judged
+  UNION ALL
+  SELECT conv, i, q, cost, audit, made FROM (
+    SELECT m.conv, m.i, m.q, w.cost + m.cost AS cost, w.audit || m.audit AS audit, list_concat(w.made, m.made) AS made,
+      row_number() OVER (PARTITION BY m.conv, m.q ORDER BY w.cost + m.cost, w.audit || m.audit) AS place
+    FROM walk w JOIN moves m ON m.conv = w.conv AND m.i = w.i + 1 AND m.p = w.state
+  ) WHERE place = 1
+), ends AS (
+  SELECT w.conv, w.cost + a.cost AS cost, w.audit || a.audit AS audit, list_concat(w.made, a.made) AS made,
+    row_number() OVER (PARTITION BY w.conv ORDER BY w.cost + a.cost, w.audit || a.audit) AS place
+  FROM walk w JOIN (SELECT conv, max(i) AS n FROM judged GROUP BY conv) x ON x.conv = w.conv AND x.n = w.i
+  JOIN added a ON a.p = w.state WHERE a.q IN (0, 3)
+), counts AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (wrong) AS illegal
+  FROM judged GROUP BY conv
+)
+SELECT e.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+  coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(x.cost, 0) AS cost,
+  coalesce(x.audit, '') AS audit, sha256(coalesce(array_to_string(x.made, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) e
+LEFT JOIN counts c ON c.conv = coalesce('=' || e.conv_id, '')
+LEFT JOIN (SELECT * FROM ends WHERE place = 1) x ON x.conv = coalesce('=' || e.conv_id, '')
+""",
     "op5_minhash": rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w
