@@ -11,6 +11,7 @@ from playerlens.llm.decontaminate import contamination
 from playerlens.llm.language import held_out, with_language
 from playerlens.llm.minhash import near_duplicates
 from playerlens.llm.mixing import mix
+from playerlens.llm.sharding import shard_rows
 from playerlens.llm.text import fold
 from playerlens.llm.urls import filter_urls
 from playerlens.llm.vectors import nearest
@@ -101,6 +102,19 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repaired_digest(rows, fixed)
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return shard_rows(docs).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -113,6 +127,7 @@ QUERIES = {
     "op9_lm": op9_lm,
     "op10_mixing": op10_mixing,
     "op11_conversations": op11_conversations,
+    "op12_sharding": op12_sharding,
 }
 
 LOWER_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -135,6 +150,43 @@ def crc32_sql(text: str) -> str:
 
 
 ORACLE_SQL = {
+    "op12_sharding": f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0) + 8 AS size, {crc32_sql("coalesce(text, '')")} AS crc,
+    coalesce('=' || text, '') AS t
+  FROM documents
+), grouped AS (
+  SELECT t, size, crc, min(doc_id) AS first, CAST(sum(size) AS BIGINT) AS bytes FROM rows GROUP BY t, size, crc
+), ranked AS (
+  SELECT *, row_number() OVER big - 1 AS r, sum(bytes) OVER () - sum(bytes) OVER big + bytes AS left_bytes
+  FROM grouped WINDOW big AS (ORDER BY bytes DESC, first NULLS LAST, crc, size)
+), judged AS (
+  SELECT *, min(CAST(r < 23 AND bytes * (24 - r) >= left_bytes AS INTEGER)) OVER (ORDER BY r) = 1 AS alone FROM ranked
+), lone AS (
+  SELECT count(*) AS n FROM judged WHERE alone
+), ends AS (
+  SELECT t, size, crc, bytes, CAST(sum(bytes) OVER (ORDER BY first NULLS LAST, crc, size) AS BIGINT) AS e FROM judged WHERE NOT alone
+), best AS (
+  SELECT 1 AS k, e, e AS most FROM ends
+  UNION ALL
+  SELECT b.k + 1, x.e, min(greatest(b.most, x.e - b.e)) FROM best b JOIN ends x ON x.e >= b.e, lone
+  WHERE b.k < 24 - lone.n GROUP BY b.k, x.e
+), capacity AS (
+  SELECT most AS c FROM best, lone WHERE k = 24 - lone.n ORDER BY e DESC LIMIT 1
+), cuts AS (
+  SELECT CAST(0 AS BIGINT) AS s, CAST(0 AS BIGINT) AS e
+  UNION ALL
+  SELECT u.s + 1, (SELECT max(x.e) FROM ends x, capacity WHERE x.e <= u.e + capacity.c)
+  FROM cuts u WHERE u.s < 24
+), dealt AS (
+  SELECT t, CAST(r AS BIGINT) AS shard FROM judged WHERE alone
+  UNION ALL
+  SELECT t, lone.n + (SELECT count(*) FROM cuts c WHERE c.s > 0 AND c.e < x.e) FROM ends x, lone
+)
+SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS LAST, size, crc) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM rows JOIN dealt USING (t)
+""",
     "op11_conversations": f"""
 WITH RECURSIVE coded AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
