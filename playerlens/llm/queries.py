@@ -15,6 +15,7 @@ from playerlens.llm.sharding import shard_rows
 from playerlens.llm.text import fold
 from playerlens.llm.urls import filter_urls
 from playerlens.llm.vectors import nearest
+from playerlens.llm.whitening import whitened
 from playerlens.session import cut_lineage, prepare, scratch_path
 
 
@@ -115,6 +116,10 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -128,6 +133,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_conversations": op11_conversations,
     "op12_sharding": op12_sharding,
+    "op13_whitening": op13_whitening,
 }
 
 LOWER_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
