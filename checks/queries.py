@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.present import shown
@@ -1178,41 +1178,112 @@ def stream_landing(i: Inputs) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _streamed(i: Inputs, df: DataFrame, build) -> DataFrame:
-    """``df`` as files through ``build`` as a stream until it has read them all."""
-    source, target, state = i.scratch("in"), i.scratch("out"), i.scratch("state")
-    df.write.parquet(source)
-    stream = build(i.spark.readStream.schema(df.schema).parquet(source))
-    (
-        stream.writeStream.outputMode("append")
-        .option("checkpointLocation", state)
-        .trigger(availableNow=True)
-        .format("parquet")
-        .start(target)
-        .awaitTermination()
-    )
-    return i.spark.read.schema(stream.schema).parquet(target)
+def _arrivals(df: DataFrame, at: Column, bounds: list[datetime]) -> list[DataFrame]:
+    """``df`` in parts, as it arrives in the spans that ``bounds`` divide."""
+    stored = cut_lineage(df.withColumn("_at", at))
+    edges = [None, *bounds, None]
+    parts = []
+    for low, high in zip(edges, edges[1:]):
+        part = stored if low is None else stored.filter(F.col("_at") >= F.lit(low))
+        parts.append((part if high is None else part.filter(F.col("_at") < F.lit(high))).drop("_at"))
+    return parts
+
+
+def _delivered(i: Inputs, parts: list[DataFrame], start: Callable[[DataFrame], None]) -> None:
+    """Puts one part after the other into a folder and runs a stream on it each time."""
+    source = i.scratch("in")
+    for part in parts:
+        part.write.mode("append").parquet(source)
+        start(i.spark.readStream.schema(part.schema).parquet(source))
+
+
+def _streamed(i: Inputs, parts: list[DataFrame], build) -> DataFrame:
+    """The parts through ``build`` as a stream that is stopped and started between them."""
+    target, state = i.scratch("out"), i.scratch("state")
+    schemas_made = []
+
+    def start(rows: DataFrame) -> None:
+        stream = build(rows)
+        schemas_made.append(stream.schema)
+        (
+            stream.writeStream.outputMode("append")
+            .option("checkpointLocation", state)
+            .trigger(availableNow=True)
+            .format("parquet")
+            .start(target)
+            .awaitTermination()
+        )
+
+    streams.keep_state_on_disk(i.spark)
+    _delivered(i, parts, start)
+    return i.spark.read.schema(schemas_made[-1]).parquet(target)
+
+
+def _copies_in_parts(i: Inputs) -> list[DataFrame]:
+    """Event reports as they come in: second copies half a day later, so some in a later part."""
+    late = F.make_dt_interval(hours=F.col("copy") * 12)
+    years = [datetime(y, 1, 1, 6) for y in (1994, 1996, 1998)]
+    return _arrivals(i.attribution, F.col("event_time") + late, years)
+
+
+def _after_all(parts: list[DataFrame], time: str, key: str) -> DataFrame:
+    """A row far in the future, to close what is open; its own stays open."""
+    last = parts[-1].limit(1)
+    kind = last.schema[time].dataType
+    return last.withColumns({time: F.lit(datetime(2035, 1, 1)).cast(kind), key: F.lit("closing")})
 
 
 @query
 def stream_dedup(i: Inputs) -> DataFrame:
+    """First copies, over several micro-batches between which the watermark moves."""
     kept = _streamed(
-        i, i.attribution, lambda s: streams.stream_dedup(s, schemas.ATTRIBUTION_EVENTS, "1 day")
+        i,
+        _copies_in_parts(i),
+        lambda s: streams.stream_dedup(s, schemas.ATTRIBUTION_EVENTS, "1 day"),
     )
     return kept.select("appsflyer_id", "event_time", "event_name")
 
 
 @query
-def stream_sessions(i: Inputs) -> DataFrame:
-    """Closed by one event far in the future, whose own session stays open."""
-    closing = i.events.limit(1).withColumns(
-        {"event_timestamp": F.lit(datetime(2030, 1, 1)), PLAYER: F.lit("closing")}
+def stream_newest(i: Inputs) -> DataFrame:
+    """Newest copies, as ``dedup_partition`` has them, over several micro-batches."""
+    parts = _copies_in_parts(i)
+    kept = _streamed(
+        i,
+        [*parts, _after_all(parts, "event_time", "appsflyer_id")],
+        lambda s: streams.stream_newest(s, schemas.ATTRIBUTION_EVENTS, "1 day"),
     )
-    done = _streamed(i, i.events.unionByName(closing), lambda s: streams.stream_sessions(s))
+    return kept.select("appsflyer_id", "event_time", "event_name", "_ingestion_timestamp", "copy")
+
+
+def _events_in_parts(i: Inputs) -> list[DataFrame]:
+    """Events as they come in, some up to half an hour late; a session may lie in two parts."""
+    late = F.make_dt_interval(mins=F.pmod(F.xxhash64("event_id"), F.lit(4)).cast("int") * 10)
+    days = [datetime(2024, 1, d, 2, 30) for d in (6, 11, 20)]
+    parts = _arrivals(i.events, F.col("event_timestamp") + late, days)
+    return [*parts, _after_all(parts, "event_timestamp", PLAYER)]
+
+
+@query
+def stream_sessions(i: Inputs) -> DataFrame:
+    done = _streamed(i, _events_in_parts(i), lambda s: streams.stream_sessions(s))
     expected_id = stable_id(F.col(PLAYER), F.unix_micros("session_start"))
     return done.filter(F.col("session_id") == expected_id).drop("session_id")
 
 
+@query
+def stream_numbered_sessions(i: Inputs) -> DataFrame:
+    """Sessions with the ids of the batch form; the counts outlive the restarts of the stream."""
+    target, counters, state = i.scratch("sessions"), i.scratch("counters"), i.scratch("state")
+    streams.keep_state_on_disk(i.spark)
+    _delivered(
+        i,
+        _events_in_parts(i),
+        lambda s: streams.stream_numbered_sessions(s, target, counters, state).awaitTermination(),
+    )
+    return streams.read_numbered_sessions(i.spark, target)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(fn: Query):
         return lambda spark, sf_dir: shown(fn(Inputs(spark, sf_dir)))

@@ -201,10 +201,16 @@ def _merge_slices() -> list[Column]:
     ]
 
 
-def _session_columns(merged: DataFrame) -> DataFrame:
-    number = F.col("session_num")
+def session_id(number: Column | None = None) -> Column:
+    """Of a player's session with this number; without one, of the session with this start."""
+    numbers = [] if number is None else [number]
+    return stable_id(F.col(PLAYER), *numbers, F.unix_micros("session_start"))
+
+
+def session_columns(merged: DataFrame, identity: Column) -> DataFrame:
+    """Merged events of sessions in the layout of the session table."""
     return merged.select(
-        stable_id(F.col(PLAYER), number, F.unix_micros("session_start")).alias("session_id"),
+        identity.alias("session_id"),
         PLAYER,
         F.col("first.user_id").alias("user_id"),
         "session_start",
@@ -232,7 +238,8 @@ def _session_columns(merged: DataFrame) -> DataFrame:
 def stg_sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
     """One row per session. Player attributes are those of the session's first event."""
     numbered = _number_slices(_session_slices(events, gap_minutes), gap_minutes)
-    return _session_columns(numbered.groupBy(PLAYER, "session_num").agg(*_merge_slices()))
+    merged = numbered.groupBy(PLAYER, "session_num").agg(*_merge_slices())
+    return session_columns(merged, session_id(F.col("session_num")))
 
 
 def window_gap(gap_minutes: int) -> int:
@@ -258,8 +265,7 @@ def stg_sessions_windowed(events: DataFrame, gap_minutes: int = 30) -> DataFrame
         .agg(*_merge_slices())
     )
     by_player = Window.partitionBy(PLAYER).orderBy("session_start")
-    return _session_columns(
-        merged.drop("_window").withColumn(
-            "session_num", F.row_number().over(by_player).cast("bigint")
-        )
+    numbered = merged.drop("_window").withColumn(
+        "session_num", F.row_number().over(by_player).cast("bigint")
     )
+    return session_columns(numbered, session_id(F.col("session_num")))

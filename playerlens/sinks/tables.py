@@ -113,14 +113,17 @@ def dedup_partition(df: DataFrame, table: RawTable, day: date | None = None) ->
             (at >= F.lit(day).cast("timestamp"))
             & (at < F.date_add(F.lit(day), 1).cast("timestamp"))
         )
-    # The hash only makes the choice among equally new rows repeatable.
-    others = [c for c in rows.columns if c not in (*table.dedup_keys, "_ingestion_timestamp")]
     order = [F.desc_nulls_last("_ingestion_timestamp")]
-    if others:
-        order.append(F.xxhash64(*others).asc())
+    order += [c.asc() for c in tie_breaker(rows.columns, table)]
     return dedup_latest(rows, table.dedup_keys, order)
 
 
+def tie_breaker(columns: Sequence[str], table: RawTable) -> list[Column]:
+    """A hash that makes the choice among equally new rows of one key repeatable, least first."""
+    others = [c for c in columns if c not in (*table.dedup_keys, "_ingestion_timestamp")]
+    return [F.xxhash64(*others)] if others else []
+
+
 def days_of(rows: DataFrame, table: RawTable) -> DataFrame:
     """The days that rows of a raw table belong to, one row each, as the column ``day``."""
     return rows.select(F.to_date(table.time_column).alias("day")).distinct()

@@ -5,21 +5,21 @@ from __future__ import annotations
 from threading import Lock
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from playerlens import schemas
-from playerlens.functions.columns import stable_id
-from playerlens.operators.staging import window_gap
+from playerlens.operators.staging import session_columns, session_id, window_gap
 from playerlens.session import cut_lineage
-from playerlens.sinks.tables import DAY, days_of, load_raw, read_table, table_path
+from playerlens.sinks.tables import DAY, days_of, load_raw, read_table, table_path, tie_breaker
 from playerlens.sources.normalize import normalise_report
 from playerlens.sources.readers import route_by_path
 
 PLAYER = "user_pseudo_id"
 LOAD = "_load"
+BATCH = "_batch"
 
 
 def stream_landing(
@@ -105,22 +105,41 @@ def _already_written(
 def stream_dedup(rows: DataFrame, table: schemas.RawTable, delay: str = "1 day") -> DataFrame:
     """Drops repeated keys that come within ``delay`` of each other.
 
-    Keeps the first copy to arrive, where the batch form keeps the newest.
+    Keeps the first copy to arrive and lets it through at once; ``stream_newest`` waits for the
+    newest, as the batch form does.
     """
     return rows.withWatermark(table.time_column, delay).dropDuplicatesWithinWatermark(
         list(table.dedup_keys)
     )
 
 
-def stream_sessions(events: DataFrame, gap_minutes: int = 30, delay: str = "1 hour") -> DataFrame:
-    """Sessions as they close, with the gap rule of the batch form; use output mode append.
+def stream_newest(rows: DataFrame, table: schemas.RawTable, delay: str = "1 day") -> DataFrame:
+    """The newest copy of each key, as the batch form chooses it; use output mode append.
 
-    A session comes out once the watermark has passed its end; events later than ``delay`` are
-    dropped. Sessions are not numbered here, so the id is made of player and start.
+    The state of a key is one row, which a newer copy replaces; it comes out, once, when the
+    watermark has passed the key's time, that is ``delay`` after the latest time seen. The time
+    column is part of the key, so copies that come in time meet in the state. Later copies, and keys
+    without a time, do not come out: load those with the batch form.
     """
+    if table.time_column not in table.dedup_keys:
+        raise ValueError(f"the time of {table.name} is not part of its key")
+    others = [c for c in rows.columns if c not in table.dedup_keys]
+    order = [F.col("_ingestion_timestamp")]
+    order += [F.bitwise_not(c) for c in tie_breaker(rows.columns, table)]
+    newest = (
+        rows.withWatermark(table.time_column, delay)
+        .groupBy(*table.dedup_keys)
+        .agg(F.max_by(F.struct(*others), F.struct(*order)).alias("_newest"))
+    )
+    return newest.select(
+        *[F.col(f"_newest.{c}").alias(c) if c in others else F.col(c) for c in rows.columns]
+    )
+
+
+def _closed_sessions(events: DataFrame, gap_minutes: int, delay: str) -> DataFrame:
     name = F.col("event_name")
     first = F.struct("event_timestamp", "event_id", "user_id", "platform", "geo_country")
-    closed = (
+    return (
         events.withWatermark("event_timestamp", delay)
         .groupBy(
             PLAYER,
@@ -144,27 +163,85 @@ def stream_sessions(events: DataFrame, gap_minutes: int = 30, delay: str = "1 ho
             F.max(F.when(name == "post_score", F.col("param_score"))).alias("best_score"),
         )
     )
-    return closed.select(
-        stable_id(F.col(PLAYER), F.unix_micros("session_start")).alias("session_id"),
-        PLAYER,
-        F.col("first.user_id").alias("user_id"),
-        "session_start",
-        "session_end",
-        "session_date",
-        F.timestamp_diff("SECOND", F.col("session_start"), F.col("session_end")).alias(
-            "session_duration_sec"
-        ),
-        (F.col("engagement_msec") / 1000.0).cast("double").alias("total_engagement_sec"),
-        "events_count",
-        "unique_event_types",
-        "session_revenue",
-        "max_level_in_session",
-        "levels_started",
-        "levels_completed",
-        "levels_ended",
-        "levels_retried",
-        "scores_posted",
-        "best_score",
-        F.col("first.platform").alias("platform"),
-        F.col("first.geo_country").alias("geo_country"),
+
+
+def stream_sessions(events: DataFrame, gap_minutes: int = 30, delay: str = "1 hour") -> DataFrame:
+    """Sessions as they close, with the gap rule of the batch form; use output mode append.
+
+    A session comes out once the watermark has passed its end; events later than ``delay`` are
+    dropped. Sessions are not numbered here, so the id is made of player and start.
+    """
+    return session_columns(_closed_sessions(events, gap_minutes, delay), session_id())
+
+
+def stream_numbered_sessions(
+    events: DataFrame,
+    target: str,
+    counters: str,
+    checkpoint: str,
+    gap_minutes: int = 30,
+    delay: str = "1 hour",
+) -> StreamingQuery:
+    """Writes sessions as they close, with the numbers and ids of the batch form, below ``target``.
+
+    A player's sessions close in the order of their starts, so the number is how many the player had
+    in earlier micro-batches, kept below ``counters``, plus the place in this one. A micro-batch
+    writes its sessions and then the counts of the players it had, each to a folder of its own; one
+    that is retried reads the counts from before it and writes both again. Processes what has come
+    and stops; read the result with ``read_numbered_sessions``.
+    """
+    return (
+        _closed_sessions(events, gap_minutes, delay)
+        .writeStream.outputMode("append")
+        .foreachBatch(_numberer(target, counters))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+#: Every so many micro-batches all counts are written, else those of the players in the micro-batch.
+SNAPSHOT_EVERY = 16
+_COUNTS = f"{PLAYER} string, sessions bigint"
+
+
+def _counts_before(spark: SparkSession, counters: str, batch_id: int) -> DataFrame:
+    """Sessions of each player in the micro-batches before this one. Counts only grow."""
+    first = batch_id // SNAPSHOT_EVERY * SNAPSHOT_EVERY - 1
+    paths = [f"{counters}/batch={k}" for k in range(max(first, 0), batch_id)]
+    if not paths:
+        return spark.createDataFrame([], _COUNTS)
+    stored = spark.read.schema(_COUNTS).parquet(*paths)
+    return stored.groupBy(PLAYER).agg(F.max("sessions").alias("sessions"))
+
+
+def _numberer(target: str, counters: str):
+    def number(batch: DataFrame, batch_id: int) -> None:
+        closed = cut_lineage(batch)
+        before = _counts_before(batch.sparkSession, counters, batch_id)
+        place = F.row_number().over(Window.partitionBy(PLAYER).orderBy("session_start"))
+        so_far = F.coalesce("sessions", F.lit(0).cast("bigint"))
+        numbered = closed.join(before, PLAYER, "left").withColumn("session_num", so_far + place)
+        sessions = session_columns(numbered, session_id(F.col("session_num")))
+        sessions.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+        here = closed.groupBy(PLAYER).agg(F.count(F.lit(1)).alias("_new"))
+        whole = (batch_id + 1) % SNAPSHOT_EVERY == 0
+        counts = here.join(before, PLAYER, "full" if whole else "left").select(
+            PLAYER, (so_far + F.coalesce("_new", F.lit(0))).alias("sessions")
+        )
+        counts.write.mode("overwrite").parquet(f"{counters}/batch={batch_id}")
+
+    return number
+
+
+def read_numbered_sessions(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(target).drop(BATCH)
+
+
+def keep_state_on_disk(spark: SparkSession) -> SparkSession:
+    """State of streams in RocksDB, beside the heap; a stream stays with the store it began with."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
+    return spark
