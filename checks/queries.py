@@ -24,6 +24,7 @@ from playerlens.operators import (
     quality,
     ranking,
     segments,
+    sketches,
     staging,
     warehouse,
 )
@@ -599,6 +600,50 @@ def mart_session_stats(i: Inputs) -> DataFrame:
     return i.session_stats
 
 
+# Sketches: everything below reads stored sketches of days only. Half of the rows come late and are
+# merged into their days.
+
+
+def _merged_days(build, rows: DataFrame, key: str, keys: list[str]) -> DataFrame:
+    late = F.pmod(F.xxhash64(key), F.lit(2)) == 0
+    days, more = (cut_lineage(build(rows.filter(c))) for c in (~late, late))
+    return cut_lineage(sketches.merged(days, more, keys))
+
+
+def _day_activity(i: Inputs) -> DataFrame:
+    return _merged_days(sketches.day_activity, i.events, "event_id", ["date", "platform"])
+
+
+def _day_sessions(i: Inputs) -> DataFrame:
+    return _merged_days(sketches.day_sessions, i.sessions, "session_id", ["date", "platform"])
+
+
+@query
+def rolling_active_sketched(i: Inputs) -> DataFrame:
+    return sketches.rolling_active(_day_activity(i))
+
+
+@query
+def active_between(i: Inputs) -> DataFrame:
+    return sketches.active_between(_day_activity(i), FROM, TO)
+
+
+@query
+def session_stats_sketched(i: Inputs) -> DataFrame:
+    return sketches.session_stats(_day_sessions(i))
+
+
+@query
+def session_lengths(i: Inputs) -> DataFrame:
+    return sketches.session_lengths(_day_sessions(i), FROM, TO, (0.25, 0.5, 0.95))
+
+
+@query
+def score_distribution_sketched(i: Inputs) -> DataFrame:
+    days = _merged_days(sketches.day_scores, i.levels, "event_id", ["date", "level_number"])
+    return sketches.score_distribution(days)
+
+
 @query
 def mart_level_funnel(i: Inputs) -> DataFrame:
     return i.level_funnel

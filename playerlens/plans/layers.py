@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playerlens.operators import marts, staging, warehouse
+from playerlens.operators import marts, sketches, staging, warehouse
 from playerlens.operators.funnel import level_funnel_enriched
 from playerlens.settings import Settings
 from playerlens.sinks.tables import (
@@ -149,6 +149,24 @@ TABLES: tuple[TablePlan, ...] = (
         ("mart_level_funnel",),
         lambda spark, t, s: level_funnel_enriched(t["mart_level_funnel"]),
     ),
+    TablePlan(
+        "day_activity",
+        "marts",
+        ("fact_events",),
+        lambda spark, t, s: sketches.day_activity(t["fact_events"]),
+    ),
+    TablePlan(
+        "day_sessions",
+        "marts",
+        ("fact_sessions",),
+        lambda spark, t, s: sketches.day_sessions(t["fact_sessions"]),
+    ),
+    TablePlan(
+        "day_scores",
+        "marts",
+        ("fact_levels",),
+        lambda spark, t, s: sketches.day_scores(t["fact_levels"]),
+    ),
 )
 BY_NAME = {t.name: t for t in TABLES}
 RUN_LAYERS = ("staging", "warehouse", "marts")
