@@ -148,7 +148,33 @@ def assign_sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
     )
 
 
-def _session_slices(events: DataFrame, gap_minutes: int) -> DataFrame:
+# Event names of a session are counted by bitmaps: a name is a bit, and the bits of events, slices
+# and sessions are or-ed. A session that never pauses thus keeps a few numbers, not a list.
+_WORD_BITS = 63
+
+
+def event_names(events: DataFrame) -> list[str]:
+    """The dictionary of ``events``; reads that one column."""
+    names = events.select("event_name").filter("event_name IS NOT NULL").distinct()
+    return sorted(r[0] for r in names.collect())
+
+
+def _words(names: Sequence[str]) -> range:
+    return range(-(-len(names) // _WORD_BITS))
+
+
+def _name_bits(names: Sequence[str]) -> list[Column]:
+    """One long per 63 names, with the bits of the event names of a group."""
+    if not names:
+        return []
+    places = F.create_map(*[F.lit(x) for pair in zip(names, range(len(names))) for x in pair])
+    place = F.try_element_at(places, F.col("event_name"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place % _WORD_BITS)
+    word = F.floor(place / _WORD_BITS)
+    return [F.bit_or(F.when(word == w, bit)).alias(f"names_{w}") for w in _words(names)]
+
+
+def _session_slices(events: DataFrame, gap_minutes: int, names: Sequence[str]) -> DataFrame:
     def times(name: str) -> Column:
         return F.count_if(F.col("event_name") == name)
 
@@ -163,7 +189,7 @@ def _session_slices(events: DataFrame, gap_minutes: int) -> DataFrame:
             F.min("event_date").alias("session_date"),
             F.sum("engagement_time_msec").alias("engagement_msec"),
             F.count(F.lit(1)).alias("events_count"),
-            F.collect_set("event_name").alias("names"),
+            *_name_bits(names),
             F.sum("event_value_usd").alias("session_revenue"),
             F.max("param_level").alias("max_level_in_session"),
             times("level_start").alias("levels_started"),
@@ -178,7 +204,7 @@ def _session_slices(events: DataFrame, gap_minutes: int) -> DataFrame:
     )
 
 
-def _merge_slices() -> list[Column]:
+def _merge_slices(names: Sequence[str]) -> list[Column]:
     summed = (
         "engagement_msec",
         "events_count",
@@ -194,7 +220,10 @@ def _merge_slices() -> list[Column]:
         F.min("session_start").alias("session_start"),
         F.max("session_end").alias("session_end"),
         F.min("session_date").alias("session_date"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("names")))).alias("unique_event_types"),
+        sum(
+            [F.coalesce(F.bit_count(F.bit_or(f"names_{w}")), F.lit(0)) for w in _words(names)],
+            F.lit(0),
+        ).alias("unique_event_types"),
         F.max("max_level_in_session").alias("max_level_in_session"),
         F.max("best_score").alias("best_score"),
         *[F.sum(c).alias(c) for c in summed],
@@ -235,10 +264,17 @@ def session_columns(merged: DataFrame, identity: Column) -> DataFrame:
     )
 
 
-def stg_sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
-    """One row per session. Player attributes are those of the session's first event."""
-    numbered = _number_slices(_session_slices(events, gap_minutes), gap_minutes)
-    merged = numbered.groupBy(PLAYER, "session_num").agg(*_merge_slices())
+def stg_sessions(
+    events: DataFrame, gap_minutes: int = 30, names: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per session. Player attributes are those of the session's first event.
+
+    ``names`` are the event names there are, by default looked up in ``events``; others are not
+    counted as types of events.
+    """
+    names = event_names(events) if names is None else names
+    numbered = _number_slices(_session_slices(events, gap_minutes, names), gap_minutes)
+    merged = numbered.groupBy(PLAYER, "session_num").agg(*_merge_slices(names))
     return session_columns(merged, session_id(F.col("session_num")))
 
 
@@ -247,12 +283,15 @@ def window_gap(gap_minutes: int) -> int:
     return (gap_minutes + 1) * 60_000_000 - 1
 
 
-def stg_sessions_windowed(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
+def stg_sessions_windowed(
+    events: DataFrame, gap_minutes: int = 30, names: Sequence[str] | None = None
+) -> DataFrame:
     """The same sessions through Spark's ``session_window``.
 
     Each slice opens a window that reaches the gap beyond its own last event.
     """
-    slices = _session_slices(events, gap_minutes)
+    names = event_names(events) if names is None else names
+    slices = _session_slices(events, gap_minutes, names)
     length = (
         F.unix_micros("session_end")
         - F.unix_micros("session_start")
@@ -262,7 +301,7 @@ def stg_sessions_windowed(events: DataFrame, gap_minutes: int = 30) -> DataFrame
     merged = (
         slices.withColumn("at", F.col("session_start"))
         .groupBy(PLAYER, F.session_window("at", reach).alias("_window"))
-        .agg(*_merge_slices())
+        .agg(*_merge_slices(names))
     )
     by_player = Window.partitionBy(PLAYER).orderBy("session_start")
     numbered = merged.drop("_window").withColumn(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,7 +50,9 @@ TABLES: tuple[TablePlan, ...] = (
         "stg_sessions",
         "staging",
         ("stg_events",),
-        lambda spark, t, s: staging.stg_sessions(t["stg_events"], s.session_gap_minutes),
+        lambda spark, t, s: staging.stg_sessions(
+            t["stg_events"], s.session_gap_minutes, s.event_names
+        ),
         "session_date",
         ("platform", "geo_country"),
     ),
@@ -245,7 +247,8 @@ def _planned(
         name: planned[name] if name in planned else open_table(spark, root, name)
         for name in plan.inputs
     }
-    return plan.build(spark, inputs, settings)
+    # Names are not looked up where nothing is to run.
+    return plan.build(spark, inputs, replace(settings, event_names=settings.event_names or ()))
 
 
 def _plan_text(df: DataFrame | None) -> str:

@@ -119,6 +119,20 @@ def test_dedup_keeps_the_newest_and_breaks_ties(spark):
     assert sorted(map(tuple, got)) == [("a", 1), ("b", 3)]
 
 
+@pytest.mark.parametrize("sessions", SESSION_MAKERS)
+def test_event_types_of_a_session_are_counted_by_bitmaps(spark, sessions):
+    """More names than a word has bits, repeated in one slice and over several."""
+    rows = [at("a", 60 * (i // 3), event_name=f"e{i % 150:03}") for i in range(400)]
+    rows += [at("b", 0, event_name="e000"), at("b", 1, event_name="e000"), at("c", 0, event_name="e149")]
+    events = staging.stg_events(raw_rows(spark, rows))
+    made = sessions(events)
+    got = {r["user_pseudo_id"]: r["unique_event_types"] for r in made.collect()}
+    assert got == {"a": 150, "b": 1, "c": 1}
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "collect_" not in plan and "bit_or" in plan
+    assert sessions(events.limit(0)).count() == 0
+
+
 def test_first_touch_keeps_nulls_of_the_first_event(spark):
     raw = raw_rows(
         spark,
