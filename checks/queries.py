@@ -14,6 +14,7 @@ from checks.scratch import with_scratch
 from playerlens import fixtures, schemas
 from playerlens.functions.columns import risk_tier, stable_id
 from playerlens.operators import (
+    activity,
     churn,
     dashboards,
     evaluation,
@@ -585,6 +586,27 @@ def mart_retention_cohorts(i: Inputs) -> DataFrame:
     return i.cohorts
 
 
+def _activity(i: Inputs) -> DataFrame:
+    """Bitmaps that were started with some days; others came later, one of them in two parts."""
+    path = i.scratch("activity")
+    day = F.dayofmonth("event_date")
+    late = (day == 9) & (F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0)
+    activity.store_activity(path, i.events.filter((day < 15) & ~late))
+    for part in (day >= 15, late, day == 3):
+        activity.add_activity(i.spark, path, i.events.filter(part))
+    return tables.read_table(i.spark, path)
+
+
+@query
+def retention_from_bitmaps(i: Inputs) -> DataFrame:
+    return activity.retention_cohorts(i.users, _activity(i))
+
+
+@query
+def daily_players(i: Inputs) -> DataFrame:
+    return activity.daily_players(_activity(i))
+
+
 @query
 def mart_revenue_daily(i: Inputs) -> DataFrame:
     return marts.mart_revenue_daily(i.revenue)
