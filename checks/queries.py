@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import cached_property, reduce
@@ -29,7 +30,7 @@ from playerlens.operators import (
     staging,
     warehouse,
 )
-from playerlens.plans import churn_job, daily, full_run, layers
+from playerlens.plans import churn_job, daily, full_run, incremental, layers
 from playerlens.session import cut_lineage, prepare, scratch_path
 from playerlens.settings import ChurnSettings, Settings
 from playerlens.sinks import tables
@@ -383,7 +384,7 @@ def append_table(i: Inputs) -> DataFrame:
     early = F.col("install_time") < F.lit(date(2024, 1, 15)).cast("timestamp")
     tables.append_table(installs.filter(early).drop("cost_value"), path)
     tables.append_table(installs.filter(~early), path)
-    return tables.read_table(i.spark, path, evolving=True)
+    return tables.read_table(i.spark, path)
 
 
 @query
@@ -1170,6 +1171,89 @@ def run_layers(i: Inputs) -> DataFrame:
     )
 
 
+def _late(i: Inputs) -> Column:
+    """Rows of two days that come late: half of them, and every second copy."""
+    half = F.pmod(F.xxhash64("event_key"), F.lit(2)) == 0
+    again = F.unix_micros("_ingestion_timestamp") - F.unix_micros("event_timestamp") > 3_600_000_000
+    return F.dayofmonth("event_date").isin(9, 17) & (half | again)
+
+
+def _updated(i: Inputs) -> str:
+    """Tables of a run without the late rows, which are then loaded and followed up."""
+    root, late = i.scratch("updated"), _late(i)
+    raw = layers.stored_path(root, "raw_events")
+    tables.write_table(i.raw.filter(~late).drop("event_key"), raw, partition="event_date")
+    layers.run_layers(i.spark, root, settings=RUN)
+    tables.append_table(i.raw.filter(late).drop("event_key"), raw, partition="event_date")
+    days = [date(2024, 1, 9), date(2024, 1, 17)]
+    report = incremental.update_layers(i.spark, root, days, RUN)
+    failed = {n: r for n, r in report.items() if r["status"] != "success"}
+    if failed:
+        raise RuntimeError(str(failed))
+    return root
+
+
+def _without_sketches(df: DataFrame) -> DataFrame:
+    return shown(df.drop(*[c for c, kind in df.dtypes if kind == "binary"]))
+
+
+@query
+def updated_layers(i: Inputs) -> DataFrame:
+    """Every table after an update, compared with that of a full run over the same raw rows."""
+    updated, whole = _updated(i), i.scratch("whole")
+    tables.write_table(i.raw.drop("event_key"), layers.stored_path(whole, "raw_events"))
+    layers.run_layers(i.spark, whole, settings=RUN)
+    parts = []
+    for plan in layers.TABLES:
+        a, b = (_without_sketches(layers.open_table(i.spark, r, plan.name)) for r in (updated, whole))
+        b = b.select(*a.columns)
+        other = a.exceptAll(b).unionByName(b.exceptAll(a))
+        both = a.select(F.lit(True).alias("_own")).unionByName(other.select(F.lit(False).alias("_own")))
+        parts.append(
+            both.agg(
+                F.lit(plan.name).alias("table_name"),
+                F.count_if("_own").alias("rows"),
+                (F.count_if(~F.col("_own")) == 0).alias("as_a_full_run"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def updated_sessions(i: Inputs) -> DataFrame:
+    """Sessions after an update, with the ids that a full run gives."""
+    return layers.open_table(i.spark, _updated(i), "stg_sessions")
+
+
+@query
+def named_tables(i: Inputs) -> DataFrame:
+    """Rows of the staging tables, read by their names in the layers' namespaces."""
+    root, prefix = i.scratch("named"), f"run_{uuid.uuid4().hex[:8]}"
+    tables.write_table(i.raw.drop("event_key"), layers.stored_path(root, "raw_events"))
+    layers.run_layers(i.spark, root, "staging", settings=RUN, register=prefix)
+    found = i.spark.sql(f"SHOW SCHEMAS LIKE '{prefix}_*'").select(F.col("namespace").alias("layer"))
+    rows = [
+        i.spark.table(f"{prefix}_staging.{name}").agg(
+            F.lit(f"{prefix}_staging").alias("layer"),
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+        for name in ("stg_events", "stg_sessions")
+    ]
+    named = found.join(reduce(DataFrame.unionByName, rows), "layer", "left")
+    return named.withColumn("layer", F.replace("layer", F.lit(f"{prefix}_"), F.lit("")))
+
+
+@query
+def schema_drift(i: Inputs) -> DataFrame:
+    """How a stored table differs from the layout of its kind after a load with other columns."""
+    path = i.scratch("installs")
+    first = i.installs.select("appsflyer_id", "install_time", "platform", F.col("cost_value").cast("string"))
+    tables.append_table(first.filter("platform = 'ios'"), path)
+    tables.append_table(first.withColumn("install_channel", F.lit("store")), path)
+    return quality.schema_diff(tables.read_table(i.spark, path), schemas.RAW_INSTALLS)
+
+
 @query
 def full_run_checks(i: Inputs) -> DataFrame:
     """The closing summaries of explore, ingest, transform, ml and verify."""
@@ -1208,7 +1292,7 @@ def daily_ingest(i: Inputs) -> DataFrame:
     for hour in (1, 2):
         daily.daily_ingest(i.spark, landing, root, LANDED, loaded_at=AT.replace(hour=hour))
     parts = [
-        tables.read_table(i.spark, tables.table_path(root, "raw", n), evolving=True)
+        tables.read_table(i.spark, tables.table_path(root, "raw", n))
         .groupBy((F.col(tables.DAY) == F.lit(LANDED)).alias("on_day"))
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(F.lit(n).alias("table_name"), "on_day", "rows")
@@ -1235,7 +1319,7 @@ def stream_landing(i: Inputs) -> DataFrame:
         for running in streams.stream_landing(i.spark, landing, root, state, headers):
             running.awaitTermination()
     parts = [
-        tables.read_table(i.spark, tables.table_path(root, "raw", n), evolving=True).agg(
+        tables.read_table(i.spark, tables.table_path(root, "raw", n)).agg(
             F.lit(n).alias("table_name"),
             F.count(F.lit(1)).alias("rows"),
             F.countDistinct("appsflyer_id").alias("devices"),

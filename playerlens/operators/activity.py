@@ -8,6 +8,7 @@ of its span, and rewrites those only.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,26 @@ def add_activity(spark: SparkSession, path: str, events: DataFrame) -> int:
     return write_table(cut_lineage(both), path, "overwrite", SPAN, only_partitions=True)
 
 
+def replace_activity(
+    spark: SparkSession, path: str, days: Sequence[date], events: DataFrame
+) -> int:
+    """Sets the bits of ``days`` to what ``events`` say, also where they say nothing any more."""
+    masks: dict[int, int] = {}
+    for day in days:
+        n = (day - date(1970, 1, 1)).days
+        masks[n // _DAYS] = masks.get(n // _DAYS, 0) | 1 << n % _DAYS
+    mask = F.lit(0).cast("bigint")
+    for span, bits in masks.items():
+        whole = bits - (1 << _DAYS) if bits >> (_DAYS - 1) else bits  # as a signed number
+        mask = F.when(F.col(SPAN) == span, F.lit(whole).cast("bigint")).otherwise(mask)
+    stored = read_table(spark, path).filter(F.col(SPAN).isin(list(masks)))
+    left = stored.select(PLAYER, SPAN, F.col("bits").bitwiseAND(F.bitwise_not(mask)).alias("bits"))
+    new = activity_bitmaps(events.filter(F.col("event_date").isin(list(days))))
+    both = left.unionByName(new).groupBy(PLAYER, SPAN).agg(F.bit_or("bits").alias("bits"))
+    rows = cut_lineage(both.filter("bits <> 0"))
+    return write_table(rows, path, "overwrite", SPAN, only_partitions=True)
+
+
 def store_activity(path: str, events: DataFrame) -> int:
     """Starts the table of bitmaps."""
     return write_table(activity_bitmaps(events), path, "overwrite", SPAN)

@@ -265,17 +265,24 @@ def session_columns(merged: DataFrame, identity: Column) -> DataFrame:
 
 
 def stg_sessions(
-    events: DataFrame, gap_minutes: int = 30, names: Sequence[str] | None = None
+    events: DataFrame,
+    gap_minutes: int = 30,
+    names: Sequence[str] | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """One row per session. Player attributes are those of the session's first event.
 
     ``names`` are the event names there are, by default looked up in ``events``; others are not
-    counted as types of events.
+    counted as types of events. ``before`` tells how many ``sessions`` players had before ``events``.
     """
     names = event_names(events) if names is None else names
     numbered = _number_slices(_session_slices(events, gap_minutes, names), gap_minutes)
     merged = numbered.groupBy(PLAYER, "session_num").agg(*_merge_slices(names))
-    return session_columns(merged, session_id(F.col("session_num")))
+    number = F.col("session_num")
+    if before is not None:
+        merged = merged.join(before.select(PLAYER, "sessions"), PLAYER, "left")
+        number = number + F.coalesce("sessions", F.lit(0).cast("bigint"))
+    return session_columns(merged, session_id(number))
 
 
 def window_gap(gap_minutes: int) -> int:

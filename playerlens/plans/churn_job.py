@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from playerlens.operators import churn, segments
@@ -56,55 +56,39 @@ def newest_model(spark: SparkSession, models: str) -> str | None:
     return f"{models}/{dated[-1]}" if dated else None
 
 
-def store_predictions(spark: SparkSession, root: str, predictions: DataFrame) -> int:
-    """Replaces the predictions and brings the player dimension up to date.
+def update_users(spark: SparkSession, root: str) -> int:
+    """Brings the player dimension up to date with the stored predictions and segments, in one write.
 
-    The risk tier has a column of its own there; segments come from segmentation only.
+    The risk tier has a column of its own there; segments come from segmentation only. Players
+    without a prediction or segment keep what they had.
     """
-    rows = write_table(predictions, ml_path(root, "predictions"))
-    # A player with several accounts has several rows: the highest risk counts.
-    stored = (
-        read_table(spark, ml_path(root, "predictions"))
-        .groupBy(PLAYER)
-        .agg(F.max(F.struct("churn_probability", "risk_tier")).alias("worst"))
-        .select(PLAYER, "worst.*")
+    # A player with several accounts has several rows: the highest risk, and the best segment, count.
+    risk = F.max(F.struct("churn_probability", "risk_tier"))
+    best = F.max_by("player_segment", F.struct("rfm_total", "player_segment"))
+    predicted = read_table(spark, ml_path(root, "predictions")).groupBy(PLAYER).agg(risk.alias("risk"))
+    segmented = read_table(spark, ml_path(root, "player_segments")).groupBy(PLAYER).agg(
+        F.struct(best.alias("segment")).alias("best")
     )
     users = open_table(spark, root, "dim_users")
     if "risk_tier" not in users.columns:
         users = users.withColumn("risk_tier", F.lit(None).cast("string"))
+
+    def known(part: str, value: str, own: str) -> Column:
+        return F.when(F.col(f"src.{part}").isNotNull(), F.col(f"src.{part}.{value}")).otherwise(
+            F.col(own)
+        )
+
     updated = update_from(
         users,
-        stored,
+        predicted.join(segmented, PLAYER, "full"),
         PLAYER,
         {
-            "churn_probability": F.col("src.churn_probability"),
-            "risk_tier": F.coalesce("src.risk_tier", "risk_tier"),
+            "churn_probability": known("risk", "churn_probability", "churn_probability"),
+            "risk_tier": F.coalesce("src.risk.risk_tier", "risk_tier"),
+            "player_segment": known("best", "segment", "player_segment"),
         },
     )
-    rewrite_table(updated, stored_path(root, "dim_users"))
-    return rows
-
-
-def store_segments(spark: SparkSession, root: str, segmented: DataFrame, at: datetime) -> int:
-    """Replaces the segment table, updates the player dimension and rebuilds the segment mart."""
-    rows = write_table(segments.segment_table(segmented, at), ml_path(root, "player_segments"))
-    stored = (
-        read_table(spark, ml_path(root, "player_segments"))
-        .groupBy(PLAYER)
-        .agg(F.max_by("player_segment", F.struct("rfm_total", "player_segment")).alias("segment"))
-    )
-    updated = update_from(
-        open_table(spark, root, "dim_users"),
-        stored,
-        PLAYER,
-        {"player_segment": F.col("src.segment")},
-    )
-    rewrite_table(updated, stored_path(root, "dim_users"))
-    write_table(
-        mart_player_segments(open_table(spark, root, "dim_users")),
-        stored_path(root, "mart_player_segments"),
-    )
-    return rows
+    return rewrite_table(updated, stored_path(root, "dim_users"))
 
 
 def churn_job(
@@ -130,12 +114,15 @@ def churn_job(
         churn.save_model(spark, model, models)
         done = "retrain" if mode == "retrain" else "initial_train"
     scored = churn.score_players(model, features, at.date(), settings.churn.threshold)
-    predicted = store_predictions(spark, root, scored)
+    predicted = write_table(scored, ml_path(root, "predictions"))
     append_table(churn.model_metadata(spark, model), ml_path(root, "model_metadata"))
 
     metrics = segments.user_metrics(read_table(spark, ml_path(root, "feature_store")))
     segmented = cut_lineage(segments.segment_players(cut_lineage(metrics)))
-    store_segments(spark, root, segmented, at)
+    write_table(segments.segment_table(segmented, at), ml_path(root, "player_segments"))
+    update_users(spark, root)
+    users = open_table(spark, root, "dim_users")
+    write_table(mart_player_segments(users), stored_path(root, "mart_player_segments"))
     counts = {r[0]: r[1] for r in segments.segment_counts(segmented).collect()}
     return {
         "mode": done,

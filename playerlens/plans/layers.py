@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playerlens.operators import marts, sketches, staging, warehouse
+from playerlens.operators import activity, marts, sketches, staging, warehouse
 from playerlens.operators.funnel import level_funnel_enriched
 from playerlens.settings import Settings
 from playerlens.sinks.tables import (
@@ -100,6 +100,13 @@ TABLES: tuple[TablePlan, ...] = (
         "event_date",
         ("level_number",),
     ),
+    TablePlan(
+        "player_activity",
+        "warehouse",
+        ("stg_events",),
+        lambda spark, t, s: activity.activity_bitmaps(t["stg_events"]),
+        activity.SPAN,
+    ),
     TablePlan(
         "mart_daily_kpis",
         "marts",
@@ -180,7 +187,7 @@ def stored_path(root: str, name: str) -> str:
 
 
 def open_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return read_table(spark, stored_path(root, name), evolving=name.startswith("raw_"))
+    return read_table(spark, stored_path(root, name))
 
 
 def run_layers(
@@ -190,13 +197,15 @@ def run_layers(
     dry_run: bool = False,
     settings: Settings = Settings(),
     register: str | None = None,
+    only: Sequence[str] | None = None,
 ) -> dict[str, dict]:
     """Builds and stores the tables of one layer or of all, from the tables stored below ``root``.
 
     Each table is stored once and its dependents read it back. A failed table does not stop the
     run, but tables that need it are skipped rather than built on what an earlier run left. A dry
     run reports the optimised plans and runs none. With ``register``, a prefix, the layers' namespaces
-    are created and every stored table can be read as ``prefix_layer.table``.
+    are created and every stored table can be read as ``prefix_layer.table``. ``only`` names the tables
+    to build, if not all of the layer.
     """
     if layer != "all" and layer not in RUN_LAYERS:
         raise ValueError(f"unknown layer {layer!r}; one of {', '.join(RUN_LAYERS)}, all")
@@ -206,7 +215,7 @@ def run_layers(
     unusable: set[str] = set()
     planned: dict[str, DataFrame | None] = {}
     for plan in TABLES:
-        if layer not in ("all", plan.layer):
+        if layer not in ("all", plan.layer) or (only is not None and plan.name not in only):
             continue
         missing = sorted(unusable.intersection(plan.inputs))
         if missing:

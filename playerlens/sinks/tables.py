@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import time
+import uuid
+from collections.abc import Callable, Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from playerlens.operators.quality import LoadReport
 from playerlens.operators.staging import dedup_latest
@@ -15,6 +19,8 @@ from playerlens.session import cut_lineage
 
 LAYERS = ("raw", "staging", "warehouse", "marts", "ml")
 DAY = "_day"
+#: Folders of a table's schema and of its list of versions; their names keep them out of the rows.
+SCHEMA, VERSIONS = "_schema", "_versions"
 
 
 def table_path(root: str, layer: str, name: str) -> str:
@@ -38,19 +44,54 @@ def register_table(spark: SparkSession, path: str, layer: str, name: str, prefix
     """
     full = f"`{prefix}_{layer}`.`{name}`"
     spark.sql(f"DROP TABLE IF EXISTS {full}")
-    spark.catalog.createTable(f"{prefix}_{layer}.{name}", path, "parquet")
+    spark.catalog.createTable(f"{prefix}_{layer}.{name}", current_path(spark, path), "parquet")
     if any(c.isPartition for c in spark.catalog.listColumns(f"{prefix}_{layer}.{name}")):
         spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
     return f"{prefix}_{layer}.{name}"
 
 
-def read_table(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame:
-    """A stored table.
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table with the columns of all its loads, those of a load without a row among them.
 
-    With ``evolving``, columns that only its later loads have are found too; that opens the footer
-    of every file, so it is for tables that are appended to.
+    The schema is kept beside the rows and merged by each load, so no data file is opened to find it.
+    Folders that were not written by ``write_table`` are read by their own schema.
     """
-    return spark.read.option("mergeSchema", evolving).parquet(path)
+    versions = _versions(spark, path)
+    if versions:
+        schema = StructType.fromJson(json.loads(versions[0]["schema"]))
+        return spark.read.schema(schema).parquet(f"{path}/{versions[0]['folder']}")
+    schema = stored_schema(spark, path)
+    return spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of ``path``, and ``path`` in its terms."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+
+
+def _lines(spark: SparkSession, path: str) -> list[str]:
+    """Lines of a small text table; none if it is not there."""
+    files, folder = _hadoop(spark, path)
+    return [r[0] for r in spark.read.text(path).collect()] if files.exists(folder) else []
+
+
+def stored_schema(spark: SparkSession, path: str) -> StructType | None:
+    lines = _lines(spark, f"{path}/{SCHEMA}")
+    return StructType.fromJson(json.loads(lines[0])) if lines else None
+
+
+def merged_schema(stored: StructType | None, new: StructType, partition: str | None) -> StructType:
+    """Fields of both, all nullable, new ones after the stored ones, the partition column last."""
+    fields = {f.name: f.dataType for f in stored or []}
+    for f in new:
+        if fields.setdefault(f.name, f.dataType) != f.dataType:
+            raise ValueError(
+                f"column {f.name} is {fields[f.name].simpleString()} in the table, "
+                f"{f.dataType.simpleString()} in the load"
+            )
+    names = sorted(fields, key=lambda c: c == partition)
+    return StructType([StructField(c, fields[c]) for c in names])
 
 
 def laid_out(df: DataFrame, partition: str | None, cluster: Sequence[str] = ()) -> DataFrame:
@@ -76,6 +117,12 @@ def write_table(
 
     ``only_partitions`` replaces just the partition values that ``df`` contains.
     """
+    spark = df.sparkSession
+    adds = mode == "append" or only_partitions
+    if adds and _versions(spark, path):
+        raise ValueError(f"{path} is replaced as a whole; it cannot be added to")
+    before = stored_schema(spark, path) if adds else None
+    schema = merged_schema(before, df.schema, partition)
     report = LoadReport(path)
     writer = report.watch(laid_out(df, partition, cluster)).write.mode(mode)
     if partition is not None:
@@ -83,13 +130,16 @@ def write_table(
     if only_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
+    if schema != before:
+        kept = spark.createDataFrame([(schema.json(),)], "schema string")
+        kept.coalesce(1).write.mode("overwrite").text(f"{path}/{SCHEMA}")
     return report.result()["rows_loaded"]
 
 
 def append_table(
     df: DataFrame, path: str, partition: str | None = None, cluster: Sequence[str] = ()
 ) -> int:
-    """Adds rows; columns the table does not have yet are allowed (see ``read_table``)."""
+    """Adds rows; columns the table does not have yet are allowed, other types of one are not."""
     return write_table(df, path, "append", partition, cluster)
 
 
@@ -136,7 +186,7 @@ def dedup_stored(
 
     Other days are not touched.
     """
-    stored = read_table(spark, path, evolving=True)
+    stored = read_table(spark, path)
     if isinstance(days, DataFrame):
         chosen = days.select(F.col("day").cast("date").alias("day")).distinct()
         rows = stored.join(chosen, F.col(DAY).eqNullSafe(F.col("day")), "left_semi")
@@ -155,18 +205,43 @@ def expire_partitions(
     spark: SparkSession, path: str, ref_date: date, keep_days: int = 90, column: str = DAY
 ) -> list[str]:
     """Deletes the day folders that ``retained`` would drop; no data file is read or rewritten."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     oldest = ref_date - timedelta(days=keep_days)
-    expired = []
+    return _delete_partitions(spark, path, column, lambda day: day < oldest)
+
+
+def _delete_partitions(
+    spark: SparkSession, path: str, column: str, gone: Callable[[date], bool]
+) -> list[str]:
+    files, folder = _hadoop(spark, path)
+    deleted = []
     for status in files.listStatus(folder):
         name, _, value = status.getPath().getName().partition("=")
         if name != column or value.startswith("__HIVE_DEFAULT"):
             continue
-        if date.fromisoformat(value) < oldest:
+        if gone(date.fromisoformat(value)):
             files.delete(status.getPath(), True)
-            expired.append(value)
-    return sorted(expired)
+            deleted.append(value)
+    return sorted(deleted)
+
+
+def replace_partitions(
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    partition: str,
+    days: Sequence[date],
+    cluster: Sequence[str] = (),
+) -> int:
+    """Puts ``df`` in the place of these days of a stored table; days it has no rows of are deleted.
+
+    Returns the rows written. ``df`` is read twice: pass stored rows.
+    """
+    rows = write_table(df, path, "overwrite", partition, cluster, only_partitions=True)
+    found = {r[0] for r in df.select(partition).distinct().collect()}
+    empty = set(days) - found
+    if empty:
+        _delete_partitions(spark, path, partition, lambda day: day in empty)
+    return rows
 
 
 def update_from(
@@ -194,5 +269,38 @@ def update_from(
 
 
 def rewrite_table(df: DataFrame, path: str) -> int:
-    """Overwrites the table that ``df`` is computed from; its rows are materialised first."""
-    return write_table(cut_lineage(df), path)
+    """Replaces a table, also one that ``df`` is computed from, in one step.
+
+    The rows go to a new folder beside the old ones; then a line that names it is added to the
+    table's list of versions. Until that line is there, readers find the version before, so a write
+    that fails loses nothing. ``drop_versions`` clears old ones away.
+    """
+    spark = df.sparkSession
+    folder = f"{path}/_data-{uuid.uuid4().hex}"
+    report = LoadReport(path)
+    report.watch(df).write.parquet(folder)
+    entry = {"at": time.time_ns(), "folder": folder.rpartition("/")[2], "schema": df.schema.json()}
+    line = spark.createDataFrame([(json.dumps(entry),)], "entry string")
+    line.coalesce(1).write.mode("append").text(f"{path}/{VERSIONS}")
+    return report.result()["rows_loaded"]
+
+
+def _versions(spark: SparkSession, path: str) -> list[dict]:
+    """Newest first; empty for a table that was never rewritten."""
+    entries = [json.loads(x) for x in _lines(spark, f"{path}/{VERSIONS}")]
+    return sorted(entries, key=lambda v: -v["at"])
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """The folder that holds the rows of a stored table now."""
+    versions = _versions(spark, path)
+    return f"{path}/{versions[0]['folder']}" if versions else path
+
+
+def drop_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Deletes the rows of all but the newest versions; returns how many went."""
+    gone = 0
+    for version in _versions(spark, path)[keep:]:
+        files, folder = _hadoop(spark, f"{path}/{version['folder']}")
+        gone += files.exists(folder) and bool(files.delete(folder, True))
+    return gone

@@ -88,7 +88,7 @@ def _already_written(
 ) -> DataFrame | None:
     """Other rows of the batch's days, if part of this micro-batch is stored already; else None."""
     try:
-        stored = read_table(spark, path, evolving=True)
+        stored = read_table(spark, path)
     except AnalysisException as problem:
         if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None

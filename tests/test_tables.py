@@ -170,7 +170,7 @@ def test_loading_a_day_twice_keeps_one_row_for_each_key_on_every_day(spark):
             spark, landing, root, date(2024, 1, 5), loaded_at=datetime(2024, 1, 5, hour)
         )
         assert done["installs"]["rows"] == 12
-    stored = tables.read_table(spark, tables.table_path(root, "raw", "raw_installs"), evolving=True)
+    stored = tables.read_table(spark, tables.table_path(root, "raw", "raw_installs"))
     assert stored.count() == stored.select("appsflyer_id").distinct().count() == 12
     assert {r[0].hour for r in stored.select("_ingestion_timestamp").distinct().collect()} == {2}
 
@@ -190,11 +190,11 @@ def test_stream_and_batch_share_a_raw_table(spark):
     ):
         running.awaitTermination()
     path = tables.table_path(root, "raw", "raw_installs")
-    assert tables.read_table(spark, path, evolving=True).count() == 20
+    assert tables.read_table(spark, path).count() == 20
     result = daily.daily_ingest(spark, landing, root, date(2024, 1, 5), keep_days=2)
     assert result["raw_installs"]["rows"] == 20
     assert result["raw_installs"]["expired"] == ["2024-01-02"]
-    left = tables.read_table(spark, path, evolving=True)
+    left = tables.read_table(spark, path)
     assert left.count() == left.select("appsflyer_id").distinct().count() == 15
 
 
@@ -209,7 +209,7 @@ def test_a_repeated_micro_batch_leaves_no_second_copy(spark):
     )
     for batch in (0, 1, 1):
         load(rows, batch)
-    stored = tables.read_table(spark, tables.table_path(root, "raw", table.name), evolving=True)
+    stored = tables.read_table(spark, tables.table_path(root, "raw", table.name))
     assert stored.count() == 12
 
 
@@ -230,3 +230,72 @@ def test_stored_tables_can_be_read_by_name(spark):
     assert rows and all(spark.table(f"named_staging.{n}").count() == c for n, c in rows.items())
     for layer in tables.LAYERS:
         spark.sql(f"DROP SCHEMA named_{layer} CASCADE")
+
+
+def test_schema_is_kept_beside_the_rows(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    one = spark.createDataFrame([(1, "2024-01-01")], "a int, d string")
+    tables.append_table(one, path, "d")
+    tables.append_table(one.withColumn("b", F.lit(2.5)), path, "d")
+    tables.append_table(one, path, "d")
+    stored = tables.read_table(spark, path)
+    assert stored.columns == ["a", "b", "d"]
+    assert sorted(str(r["b"]) for r in stored.collect()) == ["2.5", "None", "None"]
+    with pytest.raises(ValueError, match="column a is int in the table, bigint in the load"):
+        tables.append_table(one.withColumn("a", F.lit(1).cast("bigint")), path, "d")
+    empty = f"{tmp_path}/empty"
+    tables.write_table(one.limit(0), empty, partition="d")
+    assert tables.read_table(spark, empty).schema == tables.read_table(spark, path).drop("b").schema
+    assert tables.read_table(spark, empty).count() == 0
+    # An overwrite starts anew; another folder is read as it is.
+    tables.write_table(one.select("a"), path)
+    assert tables.read_table(spark, path).columns == ["a"]
+    one.write.parquet(f"{tmp_path}/plain")
+    assert tables.read_table(spark, f"{tmp_path}/plain").count() == 1
+
+
+def test_a_failing_rewrite_leaves_the_old_table(spark, tmp_path):
+    path = f"{tmp_path}/users"
+    tables.write_table(spark.range(3), path)
+    read = lambda: sorted(r["id"] for r in tables.read_table(spark, path).collect())
+    bad = F.when(F.col("id") == 1, F.raise_error(F.lit("stop"))).otherwise(F.col("id"))
+    with pytest.raises(Exception, match="stop"):
+        tables.rewrite_table(tables.read_table(spark, path).withColumn("id", bad.cast("bigint")), path)
+    assert read() == [0, 1, 2]
+    for _ in range(3):  # each is computed from the version before
+        stored = tables.read_table(spark, path)
+        assert tables.rewrite_table(stored.withColumn("id", F.col("id") + 1), path) == 3
+    assert read() == [3, 4, 5]
+    with pytest.raises(Exception, match="stop"):
+        tables.rewrite_table(spark.range(2).withColumn("id", bad.cast("bigint")), path)
+    assert read() == [3, 4, 5]
+    with pytest.raises(ValueError, match="cannot be added to"):
+        tables.append_table(spark.range(1), path)
+    tables.create_layers(spark, "versions")
+    name = tables.register_table(spark, path, "warehouse", "users", "versions")
+    assert sorted(r["id"] for r in spark.table(name).collect()) == [3, 4, 5]
+    assert tables.drop_versions(spark, path) == 1 and tables.drop_versions(spark, path) == 0
+    assert read() == [3, 4, 5]
+    tables.write_table(spark.range(1), path)
+    assert read() == [0]
+
+
+def test_retrain_and_predict_over_stored_tables(spark, tmp_path):
+    """Predictions and segments reach the dimension in one version each run."""
+    i, root = Inputs(spark, "/root/testdata/sf0.001"), str(tmp_path)
+    for name, df in {
+        "dim_users": i.users,
+        "fact_sessions": i.sessions,
+        "fact_events": i.events,
+        "fact_revenue": i.revenue,
+    }.items():
+        tables.write_table(df, layers.stored_path(root, name))
+    modes = [churn_job.churn_job(spark, root, m, RUN, datetime(2024, 1, 30, h))["mode"] for h, m in ((1, "retrain"), (2, "predict"))]
+    assert modes == ["retrain", "predict"]
+    path = layers.stored_path(root, "dim_users")
+    assert len(tables._versions(spark, path)) == 2
+    users = tables.read_table(spark, path)
+    scored = tables.read_table(spark, churn_job.ml_path(root, "predictions")).select("user_pseudo_id").distinct()
+    with_risk = users.filter("churn_probability IS NOT NULL").select("user_pseudo_id").distinct()
+    assert scored.exceptAll(with_risk).isEmpty() and with_risk.exceptAll(scored).isEmpty()
+    assert users.filter("player_segment IS NOT NULL").count() > 0
