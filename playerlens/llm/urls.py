@@ -2,9 +2,10 @@
 
 A URL's tokens are its scheme, host labels, path segments with digits blurred, query names and
 fragment. Where a curated rule fits, its verdict is the page's label. FP-growth mines token
-combinations that go with a verdict; those below a support or confidence, and those that add tokens
-to a rule that is at least as sure, are pruned. The remaining rules judge the other URLs: they are
-indexed by their rarest token, and a URL looks up the rules of its tokens.
+combinations that go with a verdict, with tokens that always occur together as one item; those below
+a support or confidence, and those that add tokens to a rule that is at least as sure, are pruned. The
+remaining rules judge the other URLs: they are indexed by their rarest item, and a URL looks up the
+rules of its tokens.
 """
 
 from __future__ import annotations
@@ -67,16 +68,38 @@ def tokens() -> Column:
     )
 
 
+def token_groups(labelled: DataFrame, least: float) -> DataFrame:
+    """``token, members``: the first of each group of tokens that occur in exactly the same rows.
+
+    Only tokens of at least ``least`` rows: there are at most as many as a row's tokens divided by
+    the support. The sets of rows are compared by their number and 128 bits of hash.
+    """
+    sets = labelled.groupBy("tokens").agg(F.count("*").alias("n"))
+    hashes = [F.xxhash64(F.lit(i), "tokens") for i in range(2)]
+    spread = sets.select("n", *[h.alias(f"h{i}") for i, h in enumerate(hashes)], F.explode("tokens").alias("token"))
+    seen = spread.groupBy("token").agg(
+        F.sum("n").alias("rows"), F.count("*").alias("sets"), F.bit_xor("h0").alias("h0"), F.bit_xor("h1").alias("h1")
+    )
+    alike = seen.filter(F.col("rows") >= least).groupBy("rows", "sets", "h0", "h1")
+    # All of a group stand in one URL, so a group is no longer than that.
+    return alike.agg(F.min("token").alias("token"), F.array_sort(F.collect_list("token")).alias("members"))
+
+
 def mine(
     labelled: DataFrame, *, min_support: float = 0.01, min_confidence: float = 0.8
 ) -> DataFrame:
     """``antecedent, verdict, confidence, support`` from rows of ``tokens, verdict``.
 
     All labelled rows count. A rule is dropped when one with fewer of its tokens and the same
-    verdict is at least as confident.
+    verdict is at least as confident. Tokens that always occur together are one item, or the tokens
+    of a frequent template would have as many frequent sets as they have subsets; a rule with one of
+    them holds for each. An antecedent is a list of such groups: a URL needs a token of each.
     """
+    groups = token_groups(labelled, min_support * labelled.count())
+    items = {r["token"]: r["members"] for r in groups.collect()}
     mark = F.concat(F.lit("verdict="), F.col("verdict"))
-    baskets = labelled.select(F.concat("tokens", F.array(mark)).alias("items"))
+    known = F.array_intersect("tokens", F.array(*map(F.lit, items)).cast("array<string>"))
+    baskets = labelled.select(F.concat(known, F.array(mark)).alias("items"))
     model = FPGrowth(minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.filter(F.get("consequent", F.lit(0)).startswith("verdict="))
     rules = rules.select(
@@ -101,23 +124,32 @@ def mine(
         & (F.col("sure") >= F.col("confidence"))
     )
     gone = redundant.select("antecedent", "verdict").distinct()
-    return rules.join(gone, ["antecedent", "verdict"], "left_anti")
+    left = rules.join(gone, ["antecedent", "verdict"], "left_anti")
+    named = left.select("*", F.posexplode("antecedent").alias("_at", "token")).join(groups, "token")
+    whole = named.groupBy("antecedent", "verdict", "confidence", "support").agg(
+        F.array_sort(F.collect_list(F.struct("_at", "members"))).alias("_groups")
+    )
+    return whole.withColumn("antecedent", F.col("_groups.members")).drop("_groups")
 
 
 def judge(rules: DataFrame, sets: DataFrame) -> DataFrame:
     """``tokens, verdict`` for the token sets (one row each) that some rule matches.
 
-    The surest rule decides, then the one with more support, then text order.
+    The surest rule decides, then the one with more support, then text order of the tokens by which
+    the rule fits. A rule is indexed by the tokens of its rarest group.
     """
     spread = sets.select("tokens", F.explode("tokens").alias("token"))
     common = spread.groupBy("token").agg(F.count("*").alias("n"))
-    by_token = rules.select("*", F.explode("antecedent").alias("token")).join(common, "token")
-    index = by_token.groupBy("antecedent", "verdict", "confidence", "support").agg(
-        F.min(F.struct("n", "token")).alias("rarest")
-    )
-    index = index.withColumn("token", F.col("rarest.token")).drop("rarest")
-    hits = spread.join(index, "token").filter(F.size(F.array_except("antecedent", "tokens")) == 0)
-    best = F.max(F.struct("confidence", "support", "antecedent", "verdict")).alias("best")
+    by_group = rules.select("*", F.explode("antecedent").alias("group"))
+    by_token = by_group.select("*", F.explode("group").alias("token")).join(common, "token")
+    name = ["antecedent", "verdict", "confidence", "support"]
+    sizes = by_token.groupBy(*name, "group").agg(F.sum("n").alias("n"))
+    index = sizes.groupBy(*name).agg(F.min(F.struct("n", "group")).alias("rarest"))
+    index = index.select(*name, F.explode("rarest.group").alias("token"))
+    own = lambda group: F.array_intersect(group, "tokens")
+    hits = spread.join(index, "token").filter(F.forall("antecedent", lambda g: F.size(own(g)) > 0))
+    fits = F.array_sort(F.transform("antecedent", lambda g: F.array_max(own(g)))).alias("fits")
+    best = F.max(F.struct("confidence", "support", fits, "verdict")).alias("best")
     return hits.groupBy("tokens").agg(best).select("tokens", F.col("best.verdict").alias("verdict"))
 
 

@@ -205,3 +205,26 @@ def test_url_filter_equals_brute_force(spark):
 def test_url_filter_with_little_to_mine(spark, rows):
     df = spark.createDataFrame(rows, "page_id long, url string")
     assert len(urls.filter_urls(df).collect()) == len(rows)
+
+
+def template_rows(n):
+    """300 labelled URLs of one template with ``n`` parameters beside 300 others, and open ones."""
+    query = "&".join(f"p{j}=1" for j in range(n))
+    rows = [(i, f"https://shop.example.org/es/item{i % 7}?{query}") for i in range(300)]
+    rows += [(300 + i, f"http://h{i % 40}.example.com/{('de', 'fr')[i % 2]}/{i % 9}") for i in range(300)]
+    rows += [(600 + i, f"https://x{i}.net/{('es', 'de', 'other')[i % 3]}/?p{i % (n + 1)}=2") for i in range(60)]
+    return rows
+
+
+def test_tokens_of_a_template_are_one_item(spark):
+    few = spark.createDataFrame(template_rows(3), "page_id long, url string")
+    found = sorted((tuple(r) for r in urls.filter_urls(few).drop("url").collect()), key=str)
+    assert found == sorted(plain_filter(template_rows(3), 0.01, 0.8), key=str)
+    for n in (16, 40):  # as single tokens these would be 2**n frequent sets
+        df = spark.createDataFrame(template_rows(n), "page_id long, url string")
+        out = {r["page_id"]: r["verdict"] for r in urls.filter_urls(df).collect()}
+        assert len(out) == 660 and out[600 + 1] == "block"
+        parts = urls.with_parts(df)
+        labelled = parts.select(urls.tokens().alias("tokens"), urls.curated(urls.RULES)["verdict"].alias("verdict"))
+        rules = urls.mine(labelled.filter("verdict IS NOT NULL")).collect()
+        assert len(rules) < 500 and max(len(g) for r in rules for g in r["antecedent"]) >= n
