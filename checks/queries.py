@@ -30,7 +30,7 @@ from playerlens.operators import (
     staging,
     warehouse,
 )
-from playerlens.plans import churn_job, daily, full_run, incremental, layers
+from playerlens.plans import churn_job, daily, full_run, incremental, layers, player_tables
 from playerlens.session import cut_lineage, prepare, scratch_path
 from playerlens.settings import ChurnSettings, Settings
 from playerlens.sinks import tables
@@ -861,6 +861,30 @@ def feature_store(i: Inputs) -> DataFrame:
     return i.features
 
 
+@query
+def feature_store_bucketed(i: Inputs) -> DataFrame:
+    """From tables bucketed by player, made before the last week's facts came and then brought up to date."""
+    root, last_week = i.scratch("players"), date(2024, 1, 23)
+    facts = {
+        "dim_users": (i.stored_users, None),
+        "fact_sessions": (cut_lineage(i.sessions), "session_date"),
+        "fact_events": (i.events, "event_date"),
+        "fact_revenue": (cut_lineage(i.revenue), "event_date"),
+    }
+
+    def store(until: date) -> None:
+        for name, (rows, day) in facts.items():
+            part = rows if day is None else rows.filter(F.col(day) < F.lit(until))
+            tables.write_table(part, layers.stored_path(root, name), partition=day)
+
+    store(last_week)
+    player_tables.build(i.spark, root, "bucketed", buckets=4)
+    store(date.max)
+    late = [date(2024, 1, d) for d in range(last_week.day, 32)]
+    player_tables.follow(i.spark, root, late, prefix="bucketed")
+    return player_tables.player_features(i.spark, RUN, AT, "bucketed")
+
+
 @query
 def latest_snapshot(i: Inputs) -> DataFrame:
     """Of two snapshots in one table."""

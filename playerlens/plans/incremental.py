@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playerlens.operators import activity, marts, sketches, staging, warehouse
+from playerlens.plans import player_tables
 from playerlens.plans.layers import BY_NAME, open_table, run_layers, stored_path
 from playerlens.session import cut_lineage
 from playerlens.settings import Settings
@@ -208,10 +209,16 @@ class Update:
 
 
 def update_layers(
-    spark: SparkSession, root: str, days: Sequence[date], settings: Settings = Settings()
+    spark: SparkSession,
+    root: str,
+    days: Sequence[date],
+    settings: Settings = Settings(),
+    bucketed: str | None = None,
 ) -> dict[str, dict]:
     """Updates the tables below ``root``, which a full run has stored, for loads of ``days``.
 
+    With ``bucketed``, a prefix, the tables of ``player_tables.build`` follow as well.
+
     The raw events have to be loaded already; copies of one event have one ``event_date``. A failure
     ends the update; running it again with the same days mends what it left, but for events that were
     in the tables before the first try and are in no raw row any more.
@@ -227,6 +234,8 @@ def update_layers(
     now.bitmaps()
     now.marts_by_day(session_days, installed)
     now.cohorts()
+    if bucketed:
+        player_tables.follow(spark, root, now.days, session_days, bucketed)
     report = {n: {"status": "success", "rows": r} for n, r in now.rows.items()}
     report |= run_layers(spark, root, settings=settings, only=WHOLE)
     report["seconds"] = {"status": "success", "rows": round(time.monotonic() - started)}
