@@ -28,6 +28,7 @@ from playerlens.operators import (
     segments,
     sketches,
     staging,
+    tree_nodes,
     warehouse,
 )
 from playerlens.plans import churn_job, daily, full_run, incremental, layers, player_tables
@@ -1009,6 +1010,55 @@ def churn_scores(i: Inputs) -> DataFrame:
     return churn.score_players(churn.load_model(i.spark, path), i.stored_features, REF)
 
 
+#: Three trees whose splits lie at the averages of these columns; a second split is on sessions.
+NODE_COLUMNS = ("days_since_last_session", "total_events", "active_days", "sessions_total")
+NODE_WEIGHTS = (1.0, 0.5, 0.25)
+
+
+def _average_trees(i: Inputs) -> DataFrame:
+    """Nodes of a forest that follows from the features, so that SQL has the same one."""
+    means = i.stored_features.agg(*[F.avg(c).alias(c) for c in NODE_COLUMNS])
+    rows = []
+    for tree, (feature, weight) in enumerate(zip(NODE_COLUMNS, NODE_WEIGHTS)):
+        splits = [(0, feature, 1, 2, 0.0), (2, NODE_COLUMNS[3], 3, 4, 0.0)]
+        leaves = [(node, None, None, None, value) for node, value in ((1, -0.5), (3, 0.75), (4, 0.25))]
+        rows += [(tree, weight, *node) for node in splits + leaves]
+    told = i.spark.createDataFrame(
+        rows,
+        "tree INT, weight DOUBLE, node INT, feature STRING, low INT, high INT, prediction DOUBLE",
+    )
+    limits = means.unpivot([], list(NODE_COLUMNS), "feature", "threshold")
+    path = i.scratch("nodes")
+    tables.write_table(told.join(limits, "feature", "left"), path)
+    return tables.read_table(i.spark, path)
+
+
+@query
+def node_scores(i: Inputs) -> DataFrame:
+    """Scores of all players from a stored table of tree nodes."""
+    return churn.score_by_nodes(
+        i.stored_features, _average_trees(i), NODE_COLUMNS, 2, REF, churn.model_version(REF)
+    )
+
+
+@query
+def churn_scores_by_nodes(i: Inputs) -> DataFrame:
+    """Per player: does the table of nodes of a trained model give the model's own score."""
+    model = _model(i)
+    path = churn.save_model(i.spark, model, i.scratch("models"))
+    rows, nodes = churn.model_rows(model, i.stored_features), churn.model_nodes(i.spark, path)
+    by_nodes = churn.score_by_nodes(
+        rows, nodes, model.columns, SMALL_MODEL.max_depth, REF, model.version
+    )
+    own = churn.score_players(model, i.stored_features, REF)
+    p, q = F.col("a.churn_probability"), F.col("b.churn_probability")
+    return own.alias("a").join(by_nodes.alias("b"), PLAYER).select(
+        PLAYER,
+        (F.abs(p - q) < 1e-12).alias("same_score"),
+        F.col("a.risk_tier").eqNullSafe(F.col("b.risk_tier")).alias("same_tier"),
+    )
+
+
 @query
 def churn_scores_checked(i: Inputs) -> DataFrame:
     """Per player: do class and tier follow from the probability, and is it one."""

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playerlens.functions.columns import risk_tier
+from playerlens.operators import tree_nodes
 from playerlens.operators.evaluation import binary_metrics
 from playerlens.operators.features import FEATURE_COLUMNS, LEAKY_COLUMNS
 from playerlens.operators.ranking import (
@@ -287,13 +288,37 @@ def score_players(
     model: ChurnModel, features: DataFrame, day: date, threshold: float = 0.5
 ) -> DataFrame:
     """Churn probability, class and risk tier of every player in ``features``."""
+    scored = _probability(model.pipeline.transform(model_rows(model, features)))
+    return scored.select(
+        PLAYER, *prediction_columns(F.col("churn_probability"), day, model.version, threshold)
+    )
+
+
+def model_rows(model: ChurnModel, features: DataFrame) -> DataFrame:
+    """Player and the model's numeric columns."""
     encoded = encode_all(features, model.encoders)
     if "is_payer" in features.columns:
         encoded = encoded.withColumn("is_payer_int", F.col("is_payer").cast("int"))
-    rows = encoded.select(PLAYER, *_numeric(encoded, model.columns))
-    scored = _probability(model.pipeline.transform(rows))
-    return scored.select(
-        PLAYER, *prediction_columns(F.col("churn_probability"), day, model.version, threshold)
+    return encoded.select(PLAYER, *_numeric(encoded, model.columns))
+
+
+def score_by_nodes(
+    rows: DataFrame,
+    nodes: DataFrame,
+    columns: Sequence[str],
+    depth: int,
+    day: date,
+    version: str,
+    threshold: float = 0.5,
+) -> DataFrame:
+    """The predictions of ``score_players`` from ``model_rows`` and a table of nodes, in SQL functions.
+
+    For checks and for engines without Spark ML; for scoring all players the model itself is faster.
+    """
+    walked = tree_nodes.with_margin(rows.select(PLAYER, *columns), nodes, columns, depth)
+    p = tree_nodes.probability(F.col("margin"))
+    return walked.withColumn("churn_probability", p).select(
+        PLAYER, *prediction_columns(F.col("churn_probability"), day, version, threshold)
     )
 
 
@@ -316,9 +341,13 @@ def model_metadata(spark: SparkSession, model: ChurnModel) -> DataFrame:
 
 
 def save_model(spark: SparkSession, model: ChurnModel, root: str) -> str:
-    """Writes the model, its encoders and its description below ``root/<version>``."""
+    """Writes the model, its encoders, nodes and description below ``root/<version>``."""
     path = f"{root}/{model.version}"
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    last = len(model.pipeline.stages) - 1
+    trees = f"{path}/pipeline/stages/{last}_{model.trees.uid}"
+    nodes = tree_nodes.stored_nodes(spark, trees, model.columns)
+    nodes.coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
     for column, codes in model.encoders.items():
         codes.write.mode("overwrite").parquet(f"{path}/encoder={column}")
     described = model_metadata(spark, model).withColumn(
@@ -328,6 +357,11 @@ def save_model(spark: SparkSession, model: ChurnModel, root: str) -> str:
     return path
 
 
+def model_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """The table of nodes of a stored model; see ``tree_nodes``."""
+    return spark.read.schema(tree_nodes.SCHEMA).parquet(f"{path}/nodes")
+
+
 def load_model(spark: SparkSession, path: str) -> ChurnModel:
     told = spark.read.parquet(f"{path}/description").first()
     encoders = {
