@@ -6,6 +6,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,6 +129,54 @@ def test_context_helps(spark):
     assert model > base
 
 
+def test_scores_do_not_depend_on_partitions(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+
+    def scores(rows, **how):
+        got = lm.score(rows, F.col("doc_id") % 7 == 2, **how)
+        return sorted((r["doc_id"], r["base_score"], r["score"]) for r in got.collect())
+
+    one = scores(docs.coalesce(1))
+    assert len(one) == docs.count()
+    assert scores(docs.repartition(13), batch_bytes=20_000) == one
+    # Smaller steps add up a text's logarithms in another order, but from the same weights.
+    stepped = scores(docs.orderBy(F.desc("doc_id")).coalesce(2), step=300)
+    assert [r[:2] for r in stepped] == [r[:2] for r in one]
+    assert max(abs(a[2] - b[2]) for a, b in zip(stepped, one)) < 1e-8
+
+
+def test_more_classes_than_a_byte_holds(spark, documents):
+    rows = [(i, " ".join(f"w{(i * k) % 997}" for k in range(1, 40))) for i in range(400)]
+    corpus, known = lm.encoded(documents(rows), F.lit(False), classes=900, batch_bytes=1 << 20)
+    found = [lm._numbers(*pa.array([r["classes"], r["codes"]], pa.binary()))[0] for r in corpus.collect()]
+    assert 256 < len(known) and 256 < max(x.max() for x in found) < len(known)
+    w, bias = lm.train(corpus, known, bits=10, rounds=1, step=512, rate=1.0)
+    assert w.shape == (1024, len(known)) and np.isfinite(w).all()
+    got = corpus.mapInArrow(lm._score(w, bias, 10, 512), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, in_class double, of_class double").collect()
+    assert all(-3 * r["n_tokens"] < r["of_class"] < 0 for r in got)
+
+
+def test_counts_are_those_of_the_features(spark, documents):
+    """Observed and expected counts against plain sums over all words."""
+    rows = [(i, " ".join(f"w{(i * k) % 17}" for k in range(1, 12))) for i in range(60)]
+    corpus, known = lm.encoded(documents(rows), F.lit(False), classes=6, batch_bytes=1 << 20)
+    rng = np.random.default_rng(1)
+    weights = rng.normal(size=(256, len(known))).astype(np.float32)
+    bias = rng.normal(size=len(known)).astype(np.float32)
+    seen, due = np.zeros((2, *weights.shape))
+    for r in corpus.collect():
+        kinds, codes = lm._numbers(*pa.array([r["classes"], r["codes"]], pa.binary()))
+        features = lm.feature_rows(codes, 8)
+        p = lm.class_probabilities(weights, bias, features)
+        for k, of_word, share in zip(kinds, features, p):
+            for f in of_word:
+                seen[f, k] += 1
+                due[f] += share
+    texts = corpus.select("classes", "codes")
+    assert (lm._counts(texts, None, bias, 8, 64) == seen).all()
+    assert np.abs(lm._counts(texts, weights, bias, 8, 64) - due).max() < 0.01
+
+
 def test_language_model_without_training_rows(spark, documents):
     assert lm.score(documents([]), F.lit(False)).count() == 0
     row = lm.score(documents([(1, "a b")]), F.lit(True)).first()
