@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from playerlens.operators import ranking, segments
 
 
@@ -48,6 +49,20 @@ def test_ntile_equals_one_window(tied):
     assert ours.exceptAll(one).count() == 0
 
 
+@pytest.mark.parametrize("k", [4, 7])
+def test_repeated_rows_are_divided_at_the_edge_of_a_bin(spark, k):
+    """Every key is there 30 times, so bins end between equal rows."""
+    df = spark.range(3000, numPartitions=5).select((F.col("id") % 100).alias("v"))
+    rows = ranking.with_row_key(df)
+    keys = [F.col("v"), F.col("_row")]
+    counted = lambda c: {(r["v"], r["b"]): r["count"] for r in c.groupBy("v", "b").count().collect()}
+    one = df.withColumn("b", F.ntile(k).over(Window.orderBy("v")))
+    assert counted(rows.withColumn("b", ranking.ntile(rows, keys, k))) == counted(one)
+    rank = F.row_number().over(Window.orderBy("v"))
+    cut = df.withColumn("b", F.greatest(F.lit(1), F.ceil(k * (rank - 1) / (3000 - 1))))
+    assert counted(rows.withColumn("b", ranking.quantile_bin(rows, keys, k))) == counted(cut)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6, 7, 9])
 def test_small_bins(spark, n):
     df = spark.range(n).select("id")
@@ -125,3 +140,21 @@ def test_segment_shares(spark):
     assert sum(r["user_count"] for r in stats) == 8
     assert sum(r["pct_of_total"] for r in stats) == pytest.approx(100)
     assert {r["revenue_share"] for r in stats} == {0.0}
+
+
+def test_registered_bins_divide_equal_lines(spark, tmp_path):
+    """The queries, on order lines of which every one is there three times."""
+    lines = spark.range(101).select(
+        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit(0.1).alias("l_discount")
+    )
+    lines.crossJoin(spark.range(3).select(F.lit(None).cast("int").alias("x"))).drop("x").write.parquet(
+        f"{tmp_path}/lineitem.parquet"
+    )
+    for name, column, k in (("quantile_bin", "bin", 4), ("distributed_ntile", "tile", 7)):
+        got = entry.queries()[name](spark, str(tmp_path)).groupBy(column).count().collect()
+        assert sorted(r["count"] for r in got) == sorted(
+            len(x) for x in (pd.Series(range(303)).groupby(
+                pd.qcut(pd.Series(range(303)), k, labels=False) if column == "bin" else
+                pd.Series(range(303)).map(lambda i: i // 44 if i < 88 else 2 + (i - 88) // 43)
+            ).groups.values())
+        )
