@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playerlens.functions.columns import ratio, week_label
+from playerlens.operators.ranking import observed_quantiles
 
 PLAYER = "user_pseudo_id"
 
@@ -177,22 +178,19 @@ def win_rates(levels: DataFrame) -> DataFrame:
     )
 
 
-def score_distribution(levels: DataFrame, accuracy: int = 100_000) -> DataFrame:
+def score_distribution(levels: DataFrame) -> DataFrame:
     """Score quartiles per level; observed scores, not interpolated ones."""
     scores = levels.filter(
         (F.col("event_name") == "post_score")
         & F.col("score").isNotNull()
         & F.col("level_number").isNotNull()
     )
-    quartiles = (
-        scores.groupBy("level_number")
-        .agg(F.percentile_approx("score", [0.25, 0.5, 0.75], accuracy).alias("q"))
-        .select(
-            "level_number",
-            F.col("q")[0].alias("q25_score"),
-            F.col("q")[1].alias("median_score"),
-            F.col("q")[2].alias("q75_score"),
-        )
+    quartiles = observed_quantiles(
+        scores.groupBy("level_number", "score").agg(F.count(F.lit(1)).alias("_n")),
+        ["level_number"],
+        "score",
+        "_n",
+        {"q25_score": 0.25, "median_score": 0.5, "q75_score": 0.75},
     )
     plain = scores.groupBy("level_number").agg(
         F.countDistinct(PLAYER).alias("players"),

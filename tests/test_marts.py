@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.queries import REF, Inputs
-from playerlens.operators import evaluation, features, funnel, marts, warehouse
+from playerlens.operators import dashboards, evaluation, features, funnel, marts, ranking, warehouse
 from playerlens.session import cut_lineage
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
@@ -83,6 +83,29 @@ def test_session_buckets_share_300_seconds(spark):
     assert counts == [1, 2, 2, 1] and got["median_duration_sec"] == 300
 
 
+def test_quantiles_of_very_many_rows_are_exact(spark):
+    """A million different lengths and scores, in no order."""
+    n = 1_000_000
+    value = (F.col("id") * 736_481) % n
+    sessions = spark.range(n, numPartitions=16).select(
+        F.lit(date(2024, 1, 1)).alias("session_date"), F.lit("ios").alias("platform"), F.lit("p").alias("user_pseudo_id"),
+        value.alias("session_duration_sec"), F.lit(1.0).alias("total_engagement_sec"), F.lit(1).alias("events_count"),
+        F.lit(0).alias("levels_completed"), F.lit(0.0).alias("session_revenue"),
+    )
+    assert marts.mart_session_stats(sessions).first()["median_duration_sec"] == n // 2 - 1
+    scores = sessions.selectExpr("'post_score' AS event_name", "1L AS level_number", "session_duration_sec AS score", "user_pseudo_id")
+    row = dashboards.score_distribution(scores).first()
+    assert [row[c] for c in ("q25_score", "median_score", "q75_score")] == [n // 4 - 1, n // 2 - 1, 3 * n // 4 - 1]
+
+
+def test_quantiles_without_values_and_at_whole_shares(spark):
+    counts = spark.createDataFrame(
+        [("a", v, 1) for v in range(1, 21)] + [("b", None, 5), (None, 7, 2)], "k string, v bigint, n bigint"
+    )
+    made = ranking.observed_quantiles(counts, ["k"], "v", "n", {"q": 0.95, "low": 0.05})
+    assert {r["k"]: (r["q"], r["low"]) for r in made.collect()} == {"a": (19, 1), None: (7, 7)}
+
+
 def test_churn_label_edge(spark):
     sessions = spark.createDataFrame(
         [("on_edge", date(2024, 1, 23)), ("before", date(2024, 1, 22))],
