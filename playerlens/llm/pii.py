@@ -8,7 +8,7 @@ the text around it; candidates above a calibrated threshold are added.
 The trees are trained here. Labels are weak: a candidate that coincides with a valid base match is
 personal data; one apart from all base matches is none if its context or its form speaks against it,
 and has no label otherwise. What makes a match a base match is hidden from the trees, or they could
-only find those again. They learn from a bounded sample of candidates, and become one SQL
+only find those again. They learn from all candidates, counted by their features, and become one SQL
 expression, so that scoring needs neither a join nor another pass over the texts.
 """
 
@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playerlens.llm.spans import labelled, listed, masked, matches, overlaps
-from playerlens.llm.text import sample_of
 from playerlens.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone", "other")
@@ -182,42 +181,49 @@ def _as_column(tree: str, f: Column) -> Column:
 def learn(
     found: DataFrame,
     *,
-    sample_rows: int = 20_000,
     precision: float = 0.98,
     trees: int = 12,
     depth: int = 4,
     seed: int = 1,
 ) -> Trees | None:
-    """Trees from at most ``sample_rows`` labelled candidates of ``scan``, chosen by hash.
+    """Trees from all labelled candidates of ``scan``.
 
-    Four fifths train; on the rest the threshold is set to the least probability from which on
-    labels agree at ``precision``. None when there is only one label.
+    Candidates of equal features and label are one row with their number as its weight, so the trees
+    pass over the different ones only. Four fifths, chosen by a hash of the candidate, train; on the rest the threshold is
+    set to the least probability from which on labels agree at ``precision``. None when there is only
+    one label.
     """
     rows = found.select(F.explode("candidates").alias("c"), _base().alias("b")).select(
-        F.struct(
-            F.col("c.f").alias("f"),
-            _label(F.col("c"), F.col("b")).alias("label"),
-            F.pmod(F.xxhash64("c"), F.lit(1 << 20)).alias("salt"),
-        ).alias("r")
+        F.col("c.f").alias("f"),
+        _label(F.col("c"), F.col("b")).alias("label"),
+        F.pmod(F.xxhash64(F.lit("fold"), "c"), F.lit(5)).alias("fold"),
     )
-    rows = rows.filter("r.label IS NOT NULL")
-    sample = sample_of(rows, "r", sample_rows).select(
-        "r.f", "r.label", F.pmod(F.xxhash64(F.lit("fold"), "r"), F.lit(5)).alias("fold")
+    counted = rows.filter("label IS NOT NULL").groupBy("f", "label", (F.col("fold") == 4).alias("held_out")).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    # Stored once: the trees pass over it many times.
-    sample = cut_lineage(sample).withColumn("features", array_to_vector("f"))
-    train = sample.filter(F.col("fold") < 4)
-    if train.select("label").distinct().count() < 2:
+    # Stored once, in an order that no partition changes: the trees pass over it many times.
+    counted = cut_lineage(counted.orderBy("f", "label", "held_out"))
+    counted = counted.withColumns({"features": array_to_vector("f"), "weight": F.col("n").cast("double")})
+    train = counted.filter("NOT held_out")
+    per_label = train.groupBy("label").agg(F.sum("weight").alias("weight")).collect()
+    if len(per_label) < 2:
         return None
+    whole = sum(r["weight"] for r in per_label)
     model = GBTClassifier(
-        maxIter=trees, maxDepth=depth, seed=seed, minInstancesPerNode=5, cacheNodeIds=False
+        maxIter=trees,
+        maxDepth=depth,
+        seed=seed,
+        weightCol="weight",
+        minInstancesPerNode=1,
+        minWeightFractionPerNode=min(5 / whole, 0.49),  # five candidates
+        cacheNodeIds=False,
     ).fit(train)
     shapes = [t.toDebugString.partition("\n")[2] for t in model.trees]  # without their ids
     made = Trees(shapes, list(model.treeWeights), 1.0)
-    scored = sample.filter(F.col("fold") == 4).select(
-        F.round(made.probability(F.col("f")), 2).alias("p"), "label"
+    scored = counted.filter("held_out").select(
+        F.round(made.probability(F.col("f")), 2).alias("p"), "label", "n"
     )
-    by = scored.groupBy("p").agg(F.count("*").alias("n"), F.sum("label").alias("good"))
+    by = scored.groupBy("p").agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("good"))
     n = good = 0
     for row in sorted(by.collect(), reverse=True):  # at most 101 rows
         n, good = n + row["n"], good + row["good"]

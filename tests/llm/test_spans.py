@@ -107,6 +107,31 @@ def test_trees_find_other_formats_and_spare_other_numbers(spark, documents):
     assert all("other" not in got[i] for i in text if i < 600)
 
 
+def test_trees_learn_from_every_candidate(spark):
+    """Sixteen candidates of a form of their own among 80,000: too few of them would be in a sample."""
+    i = F.col("id")
+    kind = F.when(i < 16, 2).when(i % 2 == 0, 1).otherwise(0)
+    # A cue for, or one against; the rare form has one against, and digits before it, as nothing else has.
+    vector = lambda digits, pro, con: F.array(
+        *[F.lit(0.0)] * 5, digits, F.lit(0.0), pro, *[F.lit(0.0)] * 3, con
+    )
+    f = vector(*((c).cast("double") for c in (kind == 2, kind == 1, kind != 1)))
+    place = F.struct((i * 40).alias("start"), (i * 40 + 12).alias("end"))
+    match = F.struct(place["start"].alias("start"), place["end"].alias("end"), F.lit("x").alias("value"))
+    nothing = F.filter(F.array(match), lambda m: F.lit(False))
+    found = spark.range(80_000, numPartitions=8).select(
+        i.alias("doc_id"),
+        F.when(kind > 0, F.array(match)).otherwise(nothing).alias("email"),
+        *[nothing.alias(k) for k in ("ip", "card", "phone")],
+        F.array(F.struct(place["start"].alias("start"), place["end"].alias("end"), f.alias("f"))).alias("candidates"),
+    )
+    model = pii.learn(found)
+    shown = [vector(*map(F.lit, v)) for v in ((1.0, 0.0, 1.0), (0.0, 1.0, 0.0), (0.0, 0.0, 1.0))]
+    p = spark.range(1).select(*map(model.probability, shown)).first()
+    assert p[0] > 0.8 and p[1] > 0.8 and p[2] < 0.2
+    assert pii.learn(found.repartition(13, "doc_id")) == model
+
+
 def test_trees_as_sql_agree_with_the_model(spark, documents):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector, vector_to_array
