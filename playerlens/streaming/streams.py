@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from playerlens import schemas
 from playerlens.operators.staging import session_columns, session_id, window_gap
 from playerlens.session import cut_lineage
-from playerlens.sinks.tables import DAY, days_of, load_raw, read_table, table_path, tie_breaker
+from playerlens.sinks.tables import DAY, days_of, load_raw, of_days, read_table, table_path, tie_breaker
 from playerlens.sources.normalize import normalise_report
 from playerlens.sources.readers import route_by_path
 
@@ -95,8 +95,7 @@ def _already_written(
         raise
     if LOAD not in stored.columns:
         return None
-    days = days_of(loaded, table)
-    near = stored.join(days, F.col(DAY).eqNullSafe(F.col("day")), "left_semi")
+    near = of_days(stored, days_of(loaded, table))
     if near.filter(F.col(LOAD) == mine).isEmpty():
         return None
     return near.filter(~F.col(LOAD).eqNullSafe(mine))

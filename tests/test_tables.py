@@ -299,3 +299,30 @@ def test_retrain_and_predict_over_stored_tables(spark, tmp_path):
     with_risk = users.filter("churn_probability IS NOT NULL").select("user_pseudo_id").distinct()
     assert scored.exceptAll(with_risk).isEmpty() and with_risk.exceptAll(scored).isEmpty()
     assert users.filter("player_segment IS NOT NULL").count() > 0
+
+
+def test_rows_of_a_day_are_not_brought_to_one_task(spark, tmp_path, monkeypatch):
+    """Days of a load are found without a shuffle by day, and rows without a day are among them."""
+    table, path = schemas.RAW_TABLES["raw_attribution_events"], f"{tmp_path}/t"
+    rows = spark.range(2000).select(
+        F.concat(F.lit("d"), F.col("id") % 500).alias("appsflyer_id"),
+        F.when(F.col("id") % 5 == 0, None).otherwise(F.lit("2024-01-08 10:00:00")).cast("timestamp").alias("event_time"),
+        *[F.lit("e").alias(c) for c in ("event_name", "platform", "country_code")],
+        F.timestamp_seconds("id").alias("_ingestion_timestamp"),
+    )
+    other = rows.withColumn("event_time", F.lit("2024-01-07 10:00:00").cast("timestamp"))
+    tables.load_raw(rows.unionByName(other), path, table)
+    plans, dedup = [], tables.dedup_partition
+
+    def watched(df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return dedup(df, *more)
+
+    monkeypatch.setattr(tables, "dedup_partition", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = tables.dedup_stored(spark, path, table, tables.days_of(rows, table))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert kept == 500 and "Exchange" not in plans[0]
+    assert tables.read_table(spark, path).count() == 500 + 2000
