@@ -8,7 +8,7 @@ from checks.queries import RUN, Inputs
 from playerlens import schemas
 from playerlens.operators import quality
 from playerlens.plans import churn_job, daily, full_run, layers
-from playerlens.session import scratch_path
+from playerlens.session import prepare_for_tables, scratch_path
 from playerlens.sinks import tables
 from playerlens.sources import normalize, readers
 from playerlens.streaming import streams
@@ -326,3 +326,15 @@ def test_rows_of_a_day_are_not_brought_to_one_task(spark, tmp_path, monkeypatch)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert kept == 500 and "Exchange" not in plans[0]
     assert tables.read_table(spark, path).count() == 500 + 2000
+
+
+def test_a_hot_day_is_sorted_in_small_parts(spark):
+    """30 MB as shuffled, all on one day: over several tasks and files, no row lost."""
+    path = scratch_path(prepare_for_tables(spark), "hot")
+    rows = spark.range(0, 2_000_000, 1, 8).select(
+        F.lit(date(2024, 1, 8)).alias(tables.DAY), F.xxhash64("id").alias("a"), F.xxhash64("id", F.lit(1)).alias("b")
+    )
+    assert tables.write_table(rows, path, partition=tables.DAY, cluster=("a",)) == 2_000_000
+    stored = tables.read_table(spark, path)
+    assert stored.select(F.input_file_name()).distinct().count() > 1
+    assert stored.exceptAll(rows.select(*stored.columns)).isEmpty()
