@@ -1,5 +1,6 @@
 from datetime import date, datetime
 from pathlib import Path
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,6 +107,21 @@ def test_layers_skip_what_depends_on_a_failure(spark):
         layers.run_layers(spark, root, "gold")
 
 
+def test_tables_that_do_not_need_each_other_are_built_at_once(spark, monkeypatch):
+    both = Barrier(2)
+
+    def meets(spark, inputs, settings):
+        both.wait(60)  # an error if the other table is not being built meanwhile
+        return spark.range(3)
+
+    plans = [layers.TablePlan(n, "marts", (), meets) for n in ("a", "b")]
+    plans.append(layers.TablePlan("c", "marts", ("a", "b"), lambda spark, t, s: t["a"].unionAll(t["b"])))
+    monkeypatch.setattr(layers, "TABLES", tuple(plans))
+    monkeypatch.setattr(layers, "BY_NAME", {p.name: p for p in plans})
+    report = layers.run_layers(spark, scratch_path(spark, "tables"), settings=RUN)
+    assert {n: r.get("rows") for n, r in report.items()} == {"a": 3, "b": 3, "c": 6}
+
+
 def test_dry_run_stores_nothing(spark):
     root = scratch_path(spark, "tables")
     tables.write_table(
