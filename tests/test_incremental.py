@@ -6,6 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from checks import queries as checked
 from checks.present import shown
 from checks.queries import RUN
 from playerlens.plans import incremental, layers
@@ -109,3 +110,10 @@ def test_predictions_and_other_days_stay(spark, tmp_path):
     same = {p for p, f in files(root, "fact_sessions").items() if before.get(p) == f}
     assert same == set(before) - {f"session_date={first(1)}", f"session_date={first(4)}"}
     assert incremental.update_layers(spark, root, [], RUN) == {}
+
+
+def test_rows_are_compared_in_one_pass(spark):
+    """Repeated rows count as often as they occur, and missing values are equal."""
+    a, b = (spark.createDataFrame(r, "x int, y string") for r in ([(1, "a"), (1, "a"), (2, None)], [(2, None), (1, "a"), (3, "c")]))
+    got = {(r.x, r.y): (r["_rows"], r["_more"]) for r in checked._row_differences(a, b.select("y", "x")).collect()}
+    assert got == {(1, "a"): (2, 1), (2, None): (1, 0), (3, "c"): (0, -1)}
