@@ -180,6 +180,7 @@ def stream_numbered_sessions(
     checkpoint: str,
     gap_minutes: int = 30,
     delay: str = "1 hour",
+    partitions: int = 32,
 ) -> StreamingQuery:
     """Writes sessions as they close, with the numbers and ids of the batch form, below ``target``.
 
@@ -188,15 +189,26 @@ def stream_numbered_sessions(
     writes its sessions and then the counts of the players it had, each to a folder of its own; one
     that is retried reads the counts from before it and writes both again. Processes what has come
     and stops; read the result with ``read_numbered_sessions``.
+
+    The state of a new stream is divided into ``partitions``, or the session's shuffle partitions if
+    those are fewer; a stream that goes on keeps its number. Each of them is opened and stored in
+    every micro-batch, however few rows it has.
     """
-    return (
+    writer = (
         _closed_sessions(events, gap_minutes, delay)
         .writeStream.outputMode("append")
         .foreachBatch(_numberer(target, counters))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    # A stream keeps a copy of the settings it is started with.
+    spark, setting = events.sparkSession, "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, min(partitions, int(before)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(setting, before)
 
 
 #: Every so many micro-batches all counts are written, else those of the players in the micro-batch.

@@ -123,3 +123,34 @@ def test_numbers_go_on_over_micro_batches_snapshots_and_retries(spark, tmp_path)
     # A retry reads nothing it wrote itself.
     snapshot = spark.read.parquet(f"{counters}/batch=31")
     assert {r["user_pseudo_id"]: r["sessions"] for r in snapshot.collect()} == {"a": 62, "b": 5}
+
+
+def test_state_has_the_named_partitions_not_those_of_all_shuffles(spark, tmp_path):
+    streams.keep_state_on_disk(spark)
+    rows = spark.createDataFrame(
+        [(f"p{k}", f"u{k}", DAY + timedelta(hours=k), "e", k) for k in range(40)],
+        "user_pseudo_id string, user_id string, event_timestamp timestamp, event_name string, event_id bigint",
+    ).selectExpr(
+        "*",
+        "to_date(event_timestamp) AS event_date",
+        "'ios' AS platform",
+        "'X' AS geo_country",
+        "1L AS engagement_time_msec",
+        "0D AS event_value_usd",
+        "1L AS param_level",
+        "1L AS param_score",
+    )
+    source, target, counters, state = (f"{tmp_path}/{x}" for x in ("in", "out", "counters", "state"))
+    rows.write.parquet(source)
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "64")
+    try:
+        events = spark.readStream.schema(rows.schema).parquet(source)
+        streams.stream_numbered_sessions(events, target, counters, state).awaitTermination()
+        assert spark.conf.get(setting) == "64"
+    finally:
+        spark.conf.set(setting, before)
+    kept = [p.name for p in (tmp_path / "state" / "state" / "0").iterdir() if p.name.isdigit()]
+    assert len(kept) == 32
+    assert len(numbered(spark, target)) == 38  # the last two are open for the delay and the gap
