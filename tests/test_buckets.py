@@ -119,3 +119,23 @@ def test_bucket_count(spark, tmp_path):
     assert buckets.bucket_count(spark, [path]) == 1
     size = sum(f.stat().st_size for f in Path(path).rglob("*") if f.is_file())
     assert buckets.bucket_count(spark, [path], size // 5) in (8, 16)
+
+
+def test_feature_store_bucketed_stores_each_fact_once(spark, monkeypatch):
+    from checks import queries
+    from playerlens.sinks import tables
+
+    written, write = {}, tables.write_table
+
+    def counted(df, path, *rest, **named):
+        rows = write(df, path, *rest, **named)
+        name = path.rpartition("/")[2]
+        written[name] = written.get(name, 0) + rows
+        return rows
+
+    monkeypatch.setattr(tables, "write_table", counted)
+    inputs = queries.Inputs(spark, "/root/testdata/sf0.001")
+    made = queries.feature_store_bucketed(inputs)
+    assert written["fact_events"] == inputs.events.count()
+    assert written["fact_sessions"] == inputs.sessions.count()
+    assert made.count() == written["dim_users"] == inputs.users.count()
