@@ -3,6 +3,7 @@
 import math
 import random
 from datetime import date, datetime
+from threading import Barrier
 
 import duckdb
 import pytest
@@ -170,3 +171,25 @@ def test_edges(spark, tmp_path):
     other = spark.createDataFrame([(0, 0, "b", *split[0][3:]), *split[1:]], tree_nodes.SCHEMA)
     with pytest.raises(Exception, match="no column for feature"):
         margins(other)
+
+
+def test_folds_are_fitted_beside_the_model(spark, monkeypatch):
+    """All fits of a training are under way at once, and give what they give one after the other."""
+    settings = ChurnSettings(n_trees=2, max_depth=2, folds=2)
+    features = spark.createDataFrame(
+        [(k, y, a, b) for k, y, a, b, _ in players()],
+        "user_pseudo_id string, is_churned int, active_days double, total_events double",
+    )
+    together, fit = Barrier(3, timeout=60), churn._fit
+
+    def waiting(*args):
+        together.wait()
+        return fit(*args)
+
+    monkeypatch.setattr(churn, "_fit", waiting)
+    model = churn.train(features, settings, trained_at=datetime(2024, 1, 30))
+    monkeypatch.setattr(churn, "_fit", fit)
+    monkeypatch.setattr(churn, "side_by_side", lambda spark, *steps: [step() for step in steps])
+    alone = churn.train(features, settings, trained_at=datetime(2024, 1, 30))
+    assert model.metrics == alone.metrics and 0 < model.metrics["cv_auc_mean"] <= 1
+    assert model.trees.toDebugString.split("\n")[1:] == alone.trees.toDebugString.split("\n")[1:]
