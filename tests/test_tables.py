@@ -142,6 +142,59 @@ def test_full_run_stops_at_the_first_failure(spark):
         full_run.run(spark, root, root, ("deploy",))
 
 
+def test_profiles_are_stored_side_by_side(spark, tmp_path, monkeypatch):
+    source, root = str(tmp_path / "shards"), str(tmp_path / "run")
+    tables.write_table(Inputs(spark, SF_DIR).nested, source, partition="suffix")
+    together, write = Barrier(5, timeout=60), full_run.write_table
+
+    def waiting(df, path, *rest):
+        together.wait()
+        return write(df, path, *rest)
+
+    monkeypatch.setattr(full_run, "write_table", waiting)
+    outcome = full_run.run(spark, source, root, ("explore",), settings=RUN)["explore"]
+    assert outcome["status"] == "success", outcome
+    for name, df in full_run.explore(spark, source, RUN).items():
+        stored = tables.read_table(spark, tables.table_path(root, "raw", f"profile_{name}"))
+        assert stored.count() == outcome["result"][name] > 0
+        assert stored.exceptAll(df).isEmpty() and df.exceptAll(stored).isEmpty(), name
+
+
+def test_the_summaries_of_a_run_are_stored(spark, tmp_path):
+    root = str(tmp_path)
+    tables.write_table(Inputs(spark, SF_DIR).raw, layers.stored_path(root, "raw_events"))
+    found = full_run.run(spark, root, root, ("verify",), settings=RUN)["verify"]
+    assert found["status"] == "success", found
+    stored = tables.read_table(spark, full_run.summaries_path(root)).collect()
+    assert sorted(stored) == sorted(found["result"])
+    assert sorted(stored) == sorted(full_run.verify(spark, root).collect()) and len(stored) == 5
+
+
+def test_players_are_segmented_beside_the_training(spark, tmp_path, monkeypatch):
+    i, root = Inputs(spark, SF_DIR), str(tmp_path)
+    for name, df in {
+        "dim_users": i.users,
+        "fact_sessions": i.sessions,
+        "fact_events": i.events,
+        "fact_revenue": i.revenue,
+    }.items():
+        tables.write_table(df, layers.stored_path(root, name))
+    together = Barrier(2, timeout=60)
+    train, metrics = churn_job.churn.train, churn_job.segments.user_metrics
+
+    def waiting(step):
+        def run(*args, **named):
+            together.wait()
+            return step(*args, **named)
+
+        return run
+
+    monkeypatch.setattr(churn_job.churn, "train", waiting(train))
+    monkeypatch.setattr(churn_job.segments, "user_metrics", waiting(metrics))
+    report = churn_job.churn_job(spark, root, "retrain", RUN, datetime(2024, 1, 30))
+    assert sum(report["segments"].values()) == report["predictions"] > 0
+
+
 def test_churn_job_modes(spark):
     with pytest.raises(ValueError):
         churn_job.churn_job(spark, "nowhere", "tune")
